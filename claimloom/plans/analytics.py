@@ -42,13 +42,15 @@ def top_providers_yoy(tables: Tables, top: int = TOP) -> DataFrame:
         .groupBy("provider_key", "year_number")
         .agg(F.sum("total_paid").alias("paid"))
     )
+    # taken over the amount as well, so that the planner reuses the exchange of the aggregate above
+    latest = per_version.agg(F.max(F.struct("year_number", "paid"))["year_number"].alias("year")).scalar()
+    # one exchange on the provider serves the year totals and the window over them
     provider_year = (
         per_version.join(_provider_ids(tables["dim_provider"]), "provider_key")
+        .repartition("provider_id")
         .groupBy("provider_id", "year_number")
         .agg(F.sum("paid").alias("total_paid"))
     )
-    # the maximum runs over the same two columns, so the planner reuses the aggregated exchange
-    latest = provider_year.agg(F.max(F.struct("year_number", "total_paid"))["year_number"].alias("year")).scalar()
     by_year = Window.partitionBy("provider_id").orderBy("year_number")
     with_prior = provider_year.select(
         "*",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,7 @@ from claimloom.operators.facts import (
 )
 from claimloom.operators.keys import assign_keys_by_file, next_key
 from claimloom.operators.scd2 import check_versions, load_dim_member, load_dim_provider
+from claimloom.session import together
 from claimloom.sources.store import Run, TableStore
 
 DIMENSIONS = ["dim_date", "dim_plan", "dim_diagnosis", "dim_procedure", "dim_member", "dim_provider"]
@@ -38,8 +41,11 @@ DIMENSIONS = ["dim_date", "dim_plan", "dim_diagnosis", "dim_procedure", "dim_mem
 def reset_warehouse(store: TableStore) -> int:
     """Publish an empty warehouse that holds only the placeholder rows. Old folders stay on disk."""
     run = store.begin(reset=True)
-    for table in DIMENSIONS:
+
+    def seed(table: str) -> None:
         run.replace(table, seed_unknown(schemas.empty(store.spark, table), table))
+
+    together(store.spark, *[partial(seed, table) for table in DIMENSIONS])
     return run.publish()
 
 
@@ -62,27 +68,32 @@ def run_etl(
 
 
 def _load_dimensions(run: Run, source: dict[str, DataFrame], calendar: tuple) -> dict[str, DataFrame]:
-    dims = {
-        "dim_date": run.replace("dim_date", load_dim_date(run.read("dim_date"), *calendar).coalesce(1)),
-        "dim_plan": run.replace("dim_plan", load_dim_plan(run.read("dim_plan"), source["plan_types"])),
-        "dim_diagnosis": run.replace(
-            "dim_diagnosis", load_dim_diagnosis(run.read("dim_diagnosis"), source["diagnosis_codes"])
-        ),
-        "dim_procedure": run.replace(
-            "dim_procedure", load_dim_procedure(run.read("dim_procedure"), source["procedure_codes"])
-        ),
-    }
-    dims["dim_member"] = run.replace(
-        "dim_member",
-        load_dim_member(run.read("dim_member"), source["member_plan_history"], source["members"], dims["dim_plan"]),
-    )
-    dims["dim_provider"] = run.replace(
-        "dim_provider",
-        load_dim_provider(run.read("dim_provider"), source["provider_network_history"], source["providers"]),
+    def calendar_days() -> None:
+        run.replace("dim_date", load_dim_date(run.read("dim_date"), *calendar).coalesce(1))
+
+    def catalog(table: str, load: Callable, rows: str) -> None:
+        run.replace(table, load(run.read(table), source[rows]))
+
+    def providers() -> None:
+        history = source["provider_network_history"]
+        loaded = run.replace("dim_provider", load_dim_provider(run.read("dim_provider"), history, source["providers"]))
+        check_versions(loaded, "dim_provider", "provider_id")
+
+    def plans_and_members() -> None:
+        catalog("dim_plan", load_dim_plan, "plan_types")
+        history, plans = source["member_plan_history"], run.read("dim_plan")
+        loaded = run.replace("dim_member", load_dim_member(run.read("dim_member"), history, source["members"], plans))
+        check_versions(loaded, "dim_member", "member_id")
+
+    together(
+        run.store.spark,
+        calendar_days,
+        partial(catalog, "dim_diagnosis", load_dim_diagnosis, "diagnosis_codes"),
+        partial(catalog, "dim_procedure", load_dim_procedure, "procedure_codes"),
+        providers,
+        plans_and_members,
     )
-    check_versions(dims["dim_member"], "dim_member", "member_id")
-    check_versions(dims["dim_provider"], "dim_provider", "provider_id")
-    return dims
+    return {table: run.read(table) for table in DIMENSIONS}
 
 
 def _stage(run: Run, name: str, batch: DataFrame) -> DataFrame:
@@ -127,13 +138,15 @@ def _load_lines(
     )
     accepted, rejected = batch.filter("accepted"), batch.filter("not accepted")
     numbered = assign_keys_by_file(accepted, "claim_line_key", next_key(fact_line, "claim_line_key"))
-    run.append("fact_claim_line", line_facts(numbered, now))
-
     # letter numbers go on behind this run's claim letters and all earlier ones
     last = F.greatest(next_key(letters, "dead_letter_id"), next_key(run.read("etl_dead_letter"), "dead_letter_id"))
     line_letters = dead_letters(
         assign_keys_by_file(rejected, "dead_letter_id", last),
         fv.LINE_PIPELINE, fv.LINE_SOURCE, "claim_line_id", now,
     )
-    run.replace("etl_dead_letter", replace_line_letters(letters, line_letters))
-    run.replace("etl_watermark", line_watermark(marks, accepted, now).coalesce(1))
+    together(
+        run.store.spark,
+        lambda: run.append("fact_claim_line", line_facts(numbered, now)),
+        lambda: run.replace("etl_dead_letter", replace_line_letters(letters, line_letters)),
+        lambda: run.replace("etl_watermark", line_watermark(marks, accepted, now).coalesce(1)),
+    )

@@ -177,7 +177,9 @@ def columns(table: str) -> list[str]:
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], struct(table))
+    """The table without rows, in a form the optimizer recognises: joins with it are planned away."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in struct(table)]
+    return spark.range(1).filter(F.lit(False)).select(*columns)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -52,3 +56,13 @@ def shared_dir(spark: SparkSession) -> str:
     if context.applicationId not in _LOCAL_DIRS:
         _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="claimloom-")
     return _LOCAL_DIRS[context.applicationId]
+
+
+def together(spark: SparkSession, *jobs: Callable[[], Any]) -> list[Any]:
+    """Run independent writes at the same time, so that small ones do not leave the cluster idle.
+
+    The first error is raised after all of them have ended.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [future.result() for future in futures]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from claimloom import schemas
+from claimloom.session import together
 
 
 def read_source(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -17,5 +20,9 @@ def read_source(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def write_source(tables: dict[str, DataFrame], folder: str) -> None:
     """Write source tables to a new folder."""
-    for name in schemas.SOURCE:
+
+    def write(name: str) -> None:
         schemas.conform(tables[name], name).write.mode("errorifexists").parquet(f"{folder.rstrip('/')}/{name}")
+
+    spark = tables["claims"].sparkSession
+    together(spark, *[partial(write, name) for name in schemas.SOURCE])
