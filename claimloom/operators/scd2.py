@@ -147,6 +147,48 @@ def fold_history(
     )
 
 
+def _is_open(table: str) -> Column:
+    return F.col("is_current") & (F.col(key_of(table)) != UNKNOWN_KEY)
+
+
+def scd2_changes(
+    dim: DataFrame,
+    table: str,
+    history: DataFrame,
+    entity: DataFrame,
+    key: str,
+    tracked: list[str],
+    carried: tuple[str, ...] = (),
+    plans: DataFrame | None = None,
+) -> DataFrame:
+    """What a history does to the dimension: its new versions, and the open ones as they end up.
+
+    New rows (``is_new``) carry every column but the surrogate key.
+    """
+    opened = dim.filter(_is_open(table))
+    versions = fold_history(history, key, tracked, carried, opened)
+    stable = [c for c in schemas.columns(table) if c in entity.columns and c not in {key, *tracked, *carried}]
+    changes = versions.join(entity.select(key, *stable), key)
+    if plans is not None:
+        changes = changes.join(plans.select("plan_id", "plan_key"), "plan_id")
+    return changes
+
+
+def scd2_merge(dim: DataFrame, table: str, key: str, changes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The dimension with replaced versions closed and the new, numbered ones added."""
+    closing = changes.filter("not is_new and not is_current").select(key, F.col("effective_end").alias("_closed_on"))
+    closes = _is_open(table) & F.col("_closed_on").isNotNull()
+    kept = (
+        seed_unknown(dim, table)
+        .join(closing, key, "left")
+        .withColumns({
+            "effective_end": F.when(closes, F.col("_closed_on")).otherwise(F.col("effective_end")),
+            "is_current": F.col("is_current") & ~closes,
+        })
+    )
+    return schemas.conform(kept, table).unionByName(schemas.conform(keyed, table))
+
+
 def scd2_apply(
     dim: DataFrame,
     table: str,
@@ -158,30 +200,19 @@ def scd2_apply(
     plans: DataFrame | None = None,
 ) -> DataFrame:
     """The dimension after a history has been applied to it. Applying it again changes nothing."""
+    changes = scd2_changes(dim, table, history, entity, key, tracked, carried, plans)
     surrogate = key_of(table)
-    seeded = seed_unknown(dim, table)
-    is_open = F.col("is_current") & (F.col(surrogate) != UNKNOWN_KEY)
-    opened = seeded.filter(is_open)
-    versions = fold_history(history, key, tracked, carried, opened)
+    keyed = assign_keys(changes.filter("is_new"), surrogate, [key, "effective_start"], next_key(dim, surrogate))
+    return scd2_merge(dim, table, key, changes, keyed)
 
-    ends = versions.filter(~F.col("is_new")).select(
-        key, F.col("effective_end").alias("_end"), F.col("is_current").alias("_current")
-    )
-    kept = opened.join(ends, key).drop("effective_end", "is_current").withColumnsRenamed(
-        {"_end": "effective_end", "_current": "is_current"}
-    )
-    stable = [
-        c for c in schemas.columns(table)
-        if c in entity.columns and c not in {key, *tracked, *carried}
-    ]
-    fresh = versions.filter("is_new").join(entity.select(key, *stable), key)
-    if plans is not None:
-        fresh = fresh.join(plans.select("plan_id", "plan_key"), "plan_id")
-    keyed = assign_keys(fresh, surrogate, [key, "effective_start"], next_key(dim, surrogate))
-    return (
-        schemas.conform(seeded.filter(~is_open), table)
-        .unionByName(schemas.conform(kept, table))
-        .unionByName(schemas.conform(keyed, table))
+
+def member_changes(dim: DataFrame, history: DataFrame, members: DataFrame, plans: DataFrame) -> DataFrame:
+    return scd2_changes(dim, "dim_member", history, members, "member_id", MEMBER_TRACKED, plans=plans)
+
+
+def provider_changes(dim: DataFrame, history: DataFrame, providers: DataFrame) -> DataFrame:
+    return scd2_changes(
+        dim, "dim_provider", history, providers, "provider_id", PROVIDER_TRACKED, ("network_effective_date",)
     )
 
 

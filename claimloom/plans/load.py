@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from claimloom import fixed_values as fv
 from claimloom import schemas
 from claimloom.operators.dimensions import (
+    key_of,
     load_dim_date,
     load_dim_diagnosis,
     load_dim_plan,
@@ -31,7 +32,7 @@ from claimloom.operators.facts import (
     retained_dead_letters,
 )
 from claimloom.operators.keys import assign_keys_by_file, next_key
-from claimloom.operators.scd2 import check_versions, load_dim_member, load_dim_provider
+from claimloom.operators.scd2 import check_versions, member_changes, provider_changes, scd2_merge
 from claimloom.session import together
 from claimloom.sources.store import Run, TableStore
 
@@ -74,16 +75,23 @@ def _load_dimensions(run: Run, source: dict[str, DataFrame], calendar: tuple) ->
     def catalog(table: str, load: Callable, rows: str) -> None:
         run.replace(table, load(run.read(table), source[rows]))
 
+    def versions(table: str, key: str, changes: DataFrame) -> None:
+        # the folded history is written once; closing, numbering and adding all read it back
+        dim, surrogate = run.read(table), key_of(table)
+        staged = _stage(run, f"{table}_changes", changes, "is_new")
+        keyed = assign_keys_by_file(staged.filter("is_new"), surrogate, next_key(dim, surrogate))
+        check_versions(run.replace(table, scd2_merge(dim, table, key, staged, keyed)), table, key)
+
     def providers() -> None:
         history = source["provider_network_history"]
-        loaded = run.replace("dim_provider", load_dim_provider(run.read("dim_provider"), history, source["providers"]))
-        check_versions(loaded, "dim_provider", "provider_id")
+        changes = provider_changes(run.read("dim_provider"), history, source["providers"])
+        versions("dim_provider", "provider_id", changes)
 
     def plans_and_members() -> None:
         catalog("dim_plan", load_dim_plan, "plan_types")
         history, plans = source["member_plan_history"], run.read("dim_plan")
-        loaded = run.replace("dim_member", load_dim_member(run.read("dim_member"), history, source["members"], plans))
-        check_versions(loaded, "dim_member", "member_id")
+        changes = member_changes(run.read("dim_member"), history, source["members"], plans)
+        versions("dim_member", "member_id", changes)
 
     together(
         run.store.spark,
@@ -96,16 +104,20 @@ def _load_dimensions(run: Run, source: dict[str, DataFrame], calendar: tuple) ->
     return {table: run.read(table) for table in DIMENSIONS}
 
 
-def _stage(run: Run, name: str, batch: DataFrame) -> DataFrame:
-    """Write a resolved batch once, accepted and rejected rows in folders of their own.
+def _stage(run: Run, name: str, rows: DataFrame, split: str) -> DataFrame:
+    """Write resolved rows once, in a folder for each value of the boolean column ``split``.
 
-    Everything after reads the written rows: the resolution joins run once, and a lost executor
+    Everything after reads the written rows: the joins behind them run once, and a lost executor
     costs a re-read instead of a recomputation.
     """
     folder = f"{run.folder}/{name}"
-    batch.withColumn("accepted", F.col("reject_reason").isNull()).write.partitionBy("accepted").parquet(folder)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema)
-    return run.store.spark.read.schema(f"{columns}, accepted boolean").parquet(folder)
+    rows.write.partitionBy(split).parquet(folder)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return run.store.spark.read.schema(columns).parquet(folder)
+
+
+def _stage_batch(run: Run, name: str, batch: DataFrame) -> DataFrame:
+    return _stage(run, name, batch.withColumn("accepted", F.col("reject_reason").isNull()), "accepted")
 
 
 def _load_claims(
@@ -113,7 +125,8 @@ def _load_claims(
 ) -> tuple[DataFrame, DataFrame]:
     """Header fact; returns the dead letters and marks it leaves, which are written with the lines'."""
     fact, letters, marks = (run.read(t) for t in ("fact_claim", "etl_dead_letter", "etl_watermark"))
-    batch = _stage(run, "claim_load_batch", resolve_claims(source["claims"], source["claim_lines"], dims, fact))
+    resolved = resolve_claims(source["claims"], source["claim_lines"], dims, fact)
+    batch = _stage_batch(run, "claim_load_batch", resolved)
     accepted = assign_keys_by_file(batch.filter("accepted"), "claim_key", next_key(fact, "claim_key"))
     run.append("fact_claim", claim_facts(accepted, now))
     rejected = assign_keys_by_file(
@@ -133,9 +146,8 @@ def _load_lines(
 ) -> None:
     """Line fact, then the dead letters and marks of both pipelines."""
     fact_claim, fact_line = run.read("fact_claim"), run.read("fact_claim_line")
-    batch = _stage(
-        run, "line_load_batch", resolve_lines(source["claim_lines"], dims, fact_claim, fact_line, letters)
-    )
+    resolved = resolve_lines(source["claim_lines"], dims, fact_claim, fact_line, letters)
+    batch = _stage_batch(run, "line_load_batch", resolved)
     accepted, rejected = batch.filter("accepted"), batch.filter("not accepted")
     numbered = assign_keys_by_file(accepted, "claim_line_key", next_key(fact_line, "claim_line_key"))
     # letter numbers go on behind this run's claim letters and all earlier ones

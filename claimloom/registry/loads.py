@@ -16,6 +16,7 @@ from claimloom.operators.keys import assign_keys
 from claimloom.plans.load import DIMENSIONS
 from claimloom.registry.base import loaded, query
 from claimloom.registry.mapping import CALENDAR, event_history, table
+from claimloom.session import cut_lineage
 
 _RUN = datetime(2026, 1, 1)
 
@@ -96,7 +97,7 @@ def _upserted(spark, folder: str, name: str, source: str, natural: str, attribut
     rows = loaded(spark, folder).source[source]
     first = rows.filter(f"{kept} % 3 <> 0").withColumn(attribute, F.lit("old"))
     second = rows.filter(f"{kept} % 5 <> 0")
-    once = dimensions.upsert_type1(schemas.empty(spark, name), first, name, natural)
+    once = cut_lineage(dimensions.upsert_type1(schemas.empty(spark, name), first, name, natural))
     twice = dimensions.upsert_type1(once, second, name, natural)
     key = dimensions.key_of(name)
     moved = once.select(F.col(natural).alias("_n"), F.col(key).alias("_key"))
@@ -195,7 +196,7 @@ def d5_provider(spark, folder):
     source = loaded(spark, folder).source
     history, providers = source["provider_network_history"], source["providers"]
     early = history.filter("effective_start < date'1997-03-01'")
-    once = scd2.load_dim_provider(schemas.empty(spark, "dim_provider"), early, providers)
+    once = cut_lineage(scd2.load_dim_provider(schemas.empty(spark, "dim_provider"), early, providers))
     return dimensions.real_rows(scd2.load_dim_provider(once, history, providers), "dim_provider")
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = "decimal(12,2)"
@@ -168,6 +169,7 @@ CHECKS = {
 }
 
 
+@cache
 def struct(table: str) -> T.StructType:
     return T.StructType.fromDDL(ALL[table])
 
@@ -178,10 +180,10 @@ def columns(table: str) -> list[str]:
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
     """The table without rows, in a form the optimizer recognises: joins with it are planned away."""
-    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in struct(table)]
-    return spark.range(1).filter(F.lit(False)).select(*columns)
+    columns = [f"cast(null as {f.dataType.simpleString()}) as {f.name}" for f in struct(table)]
+    return spark.range(1).filter("false").selectExpr(*columns)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Project to the table's columns and types; an overflowing or malformed value is an error."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in struct(table)])
+    return df.selectExpr(*[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in struct(table)])

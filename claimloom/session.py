@@ -6,9 +6,10 @@ import tempfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -24,13 +25,17 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Only settable when a session starts. Plans are built from many small expressions; recording a
+# call site for each costs more than planning them.
+STARTUP_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app_name: str = "claimloom", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings this library is designed for. Sizes stay with the caller."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **extra}.items():
+    for name, value in {**SETTINGS, **STARTUP_SETTINGS, **extra}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
@@ -58,6 +63,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[context.applicationId]
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read back, so that nothing before runs again."""
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/claimloom-{uuid4().hex[:12]}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def together(spark: SparkSession, *jobs: Callable[[], Any]) -> list[Any]:
     """Run independent writes at the same time, so that small ones do not leave the cluster idle.
 
