@@ -42,6 +42,22 @@ def assign_keys(
     )
 
 
+def number_within(df: DataFrame, key: list[str], coarse: str, order: list[str], output: str) -> DataFrame:
+    """``row_number`` of each row within its key, ordered by ``coarse`` and then by ``order``.
+
+    A row's number is the rows of its key in earlier ``coarse`` groups plus its rank in its own
+    group, so a key with very many rows is spread over its groups instead of being sorted in one
+    task. The prefix sum of a key sees one row per group, of which a date column has few.
+    """
+    group = [*key, coarse]
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*key).orderBy(coarse)
+    before = counts.select(*group, (F.sum("_rows").over(earlier) - F.col("_rows")).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    numbered = df.withColumn("_rank", rank).join(before, group)
+    return numbered.withColumn(output, F.col("_before") + F.col("_rank")).drop("_before", "_rank")
+
+
 def assign_keys_by_file(written: DataFrame, key: str, start_after: Column | int = 0) -> DataFrame:
     """Number the rows of a table just written, without moving them.
 

@@ -139,7 +139,7 @@ def source_balance(source: dict[str, DataFrame], tables: dict[str, DataFrame]) -
             (
                 history,
                 disposition(source[history], tables[f"dim_{name[:-1]}"]),
-                _extra_rows(dim, source[history], [key, "effective_start"]),
+                _extra_rows(dim, source[history].select(key, "effective_start").distinct(), [key, "effective_start"]),
             )
         )
     entities.append(

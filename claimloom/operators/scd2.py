@@ -26,30 +26,16 @@ from claimloom.fixed_values import OPEN_END, UNKNOWN_KEY
 from claimloom.functions import day_shift, same
 from claimloom.operators.constraints import many_current, require
 from claimloom.operators.dimensions import key_of, seed_unknown
-from claimloom.operators.keys import assign_keys, next_key
+from claimloom.operators.keys import assign_keys, next_key, number_within
 
 MEMBER_TRACKED = ["plan_id", "state", "zip_code"]
 PROVIDER_TRACKED = ["network_status", "specialty"]
 
 
 def history_versions(history: DataFrame, entity: DataFrame, key: str, stable: list[str]) -> DataFrame:
-    """History with its entity's stable attributes and a rank per key in (start, id) order.
-
-    The rank is the rows of earlier days plus the rank within the day, so that a key with very
-    many rows is spread over its days instead of being sorted in one task.
-    """
-    per_day = history.groupBy(key, "effective_start").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(key).orderBy("effective_start")
-    before = per_day.select(
-        key, "effective_start", (F.sum("_rows").over(earlier) - F.col("_rows")).alias("_before")
-    )
-    within = Window.partitionBy(key, "effective_start").orderBy("history_id")
-    ranked = history.withColumn("_rank", F.row_number().over(within)).join(before, [key, "effective_start"])
-    return (
-        ranked.withColumn("version_rank", F.col("_before") + F.col("_rank"))
-        .drop("_before", "_rank")
-        .join(entity.select(key, *stable), key)
-    )
+    """History with its entity's stable attributes and a rank per key in (start, id) order."""
+    ranked = number_within(history, [key], "effective_start", ["history_id"], "version_rank")
+    return ranked.join(entity.select(key, *stable), key)
 
 
 def member_history(history: DataFrame, members: DataFrame) -> DataFrame:
@@ -229,14 +215,16 @@ def load_dim_provider(dim: DataFrame, history: DataFrame, providers: DataFrame)
 def overlapping_versions(dim: DataFrame, key: str) -> DataFrame:
     """Keys with a version that ends on or after the start of a later one.
 
-    Comparing each version with the latest end before it finds every key a pairwise comparison
-    would, in one sorted pass.
+    Two versions with one start overlap. For the others it is enough to compare each start with
+    the latest end before it. Versions are reduced to one row per key and start day first, which
+    bounds what a key brings to its window.
     """
-    earlier = Window.partitionBy(key).orderBy("effective_start", "effective_end").rowsBetween(
-        Window.unboundedPreceding, -1
+    starts = dim.groupBy(key, "effective_start").agg(
+        F.count(F.lit(1)).alias("_versions"), F.max("effective_end").alias("_end")
     )
-    latest_end = F.max("effective_end").over(earlier)
-    return dim.withColumn("_latest", latest_end).filter(F.col("effective_start") <= F.col("_latest")).select(key).distinct()
+    earlier = Window.partitionBy(key).orderBy("effective_start").rowsBetween(Window.unboundedPreceding, -1)
+    latest_end = F.coalesce(F.max("_end").over(earlier) >= F.col("effective_start"), F.lit(False))
+    return starts.withColumn("_meets", latest_end).filter("_versions > 1 or _meets").select(key).distinct()
 
 
 def check_versions(dim: DataFrame, table: str, key: str) -> None:

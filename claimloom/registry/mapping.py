@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from claimloom import fixed_values as fv
 from claimloom import schemas
 from claimloom.functions import day_shift, pick
+from claimloom.operators.keys import number_within
 
 # The calendar ends before the last orders and ship dates, so that some rows fall off it.
 CALENDAR = ("1995-01-01", "2001-06-30")
@@ -58,7 +59,7 @@ def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def _plans(customer: DataFrame) -> DataFrame:
-    """One plan per market segment, numbered by name; there are a handful of segments."""
+    """One plan per market segment, numbered by name. Plan ids are small integers, which bounds their number."""
     segment = F.col("c_mktsegment")
     number = F.row_number().over(Window.orderBy(segment))
     return customer.select(segment).distinct().select(
@@ -71,7 +72,8 @@ def _plans(customer: DataFrame) -> DataFrame:
 def _members(customer: DataFrame, plans: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every member starts in 1994; even ones move to the next plan in 1996."""
     key = F.col("c_custkey")
-    based = customer.join(plans.select(F.col("plan_name").alias("c_mktsegment"), "plan_id"), "c_mktsegment").select(
+    by_segment = plans.select(F.col("plan_name").alias("c_mktsegment"), F.col("plan_id").cast("smallint"))
+    based = customer.join(F.broadcast(by_segment), "c_mktsegment").select(
         key.alias("member_id"),
         F.col("c_name").alias("first_name"),
         F.col("c_mktsegment").alias("last_name"),
@@ -160,25 +162,22 @@ def _claims(orders: DataFrame, suppliers: Column, parts: Column) -> DataFrame:
     )
 
 
+# whole rows are distinct, so all columns together order an order's lines totally
 LINE_ORDER = [
-    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-    "l_returnflag", "l_linestatus", "l_shipdate",
+    "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus",
 ]
 
 
 def _lines(lineitem: DataFrame, parts: Column) -> DataFrame:
-    """Lines numbered afresh per order: the given numbers repeat, whole rows do not.
-
-    A line number is a small integer, which bounds the lines one order can have.
-    """
-    numbered = lineitem.withColumn(
-        "number", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
-    )
+    """Lines numbered afresh per order: the given numbers repeat, whole rows do not."""
+    numbered = number_within(lineitem, ["l_orderkey"], LINE_ORDER[0], LINE_ORDER[1:], "number")
+    longest = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).scalar()
     claim, number = F.col("l_orderkey"), F.col("number")
     billed = F.col("l_extendedprice").cast(schemas.MONEY)
     allowed = _share(billed, fv.ALLOWED_SHARE)
     return numbered.select(
-        (claim * 100_000 + number).alias("claim_line_id"),
+        (claim * (longest + 1) + number).alias("claim_line_id"),
         claim.alias("claim_id"),
         number.alias("line_number"),
         F.when((claim % 400 == 2) & (number == 1), "ZZZZZ")

@@ -120,7 +120,7 @@ MODEL: dict[str, str] = {
         FROM (SELECT *, CAST(round(billed * CAST(0.72 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS allowed
               FROM (SELECT *, CAST(o_totalprice AS DECIMAL(12,2)) AS billed FROM orders))""",
     "lines": f"""
-        SELECT l_orderkey * 100000 + n AS claim_line_id, l_orderkey AS claim_id, n AS line_number,
+        SELECT l_orderkey * (SELECT max(c) + 1 FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey)) + n AS claim_line_id, l_orderkey AS claim_id, n AS line_number,
                CASE WHEN l_orderkey % 400 = 2 AND n = 1 THEN 'ZZZZZ' ELSE CAST(l_partkey AS VARCHAR) END
                    AS procedure_code,
                CAST((l_orderkey + n) % ((SELECT count(*) FROM part) + 5) AS VARCHAR) AS diagnosis_code,

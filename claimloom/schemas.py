@@ -26,7 +26,7 @@ SOURCE = {
     "claims": "claim_id bigint, member_id bigint, provider_id bigint, primary_diagnosis_code string, "
     "claim_type string, claim_status string, denial_reason string, service_date date, processed_date date, "
     "total_billed decimal(12,2), total_allowed decimal(12,2), total_paid decimal(12,2)",
-    "claim_lines": "claim_line_id bigint, claim_id bigint, line_number smallint, procedure_code string, "
+    "claim_lines": "claim_line_id bigint, claim_id bigint, line_number int, procedure_code string, "
     "diagnosis_code string, service_date date, units decimal(6,2), billed_amount decimal(12,2), "
     "allowed_amount decimal(12,2), paid_amount decimal(12,2)",
 }
@@ -50,7 +50,7 @@ WAREHOUSE = {
     "primary_diagnosis_key bigint, service_date_key bigint, processed_date_key bigint, claim_type string, "
     "claim_status string, denial_reason string, total_billed decimal(12,2), total_allowed decimal(12,2), "
     "total_paid decimal(12,2), member_responsibility decimal(12,2), line_count int, loaded_at timestamp",
-    "fact_claim_line": "claim_line_key bigint, claim_key bigint, claim_id bigint, line_number smallint, "
+    "fact_claim_line": "claim_line_key bigint, claim_key bigint, claim_id bigint, line_number int, "
     "member_key bigint, provider_key bigint, procedure_key bigint, diagnosis_key bigint, "
     "service_date_key bigint, source_procedure_code string, units decimal(6,2), billed_amount decimal(12,2), "
     "allowed_amount decimal(12,2), paid_amount decimal(12,2), loaded_at timestamp",
