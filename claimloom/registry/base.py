@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,9 +60,10 @@ class Loaded:
     store: TableStore
 
 
-@lru_cache(maxsize=8)
-def _load(application: str, folder: str) -> Loaded:
-    spark = SparkSession.getActiveSession()
+_LOADED: dict[tuple[str, str], Loaded] = {}
+
+
+def _load(spark: SparkSession, folder: str) -> Loaded:
     root = f"{session.shared_dir(spark)}/claimloom-{uuid4().hex[:12]}"
     write_source(mapping.source_tables(spark, folder), f"{root}/source")
     source = read_source(spark, f"{root}/source")
@@ -80,4 +80,7 @@ def loaded(spark: SparkSession, folder: str) -> Loaded:
     Users query a loaded warehouse, and so do the registered queries.
     """
     session.configure(spark)
-    return _load(spark.sparkContext.applicationId, folder.rstrip("/"))
+    key = (spark.sparkContext.applicationId, folder.rstrip("/"))
+    if key not in _LOADED:
+        _LOADED[key] = _load(spark, key[1])
+    return _LOADED[key]

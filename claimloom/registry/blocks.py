@@ -432,8 +432,8 @@ def j7(spark, folder):
     "j8_overlapping_ranges", "l_suppkey bigint",
     """WITH spans AS (SELECT l_suppkey, l_orderkey, min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi
                       FROM lineitem GROUP BY l_suppkey, l_orderkey HAVING count(*) > 1)
-       SELECT DISTINCT a.l_suppkey FROM spans a JOIN spans b ON a.l_suppkey = b.l_suppkey AND a.l_orderkey < b.l_orderkey
-            AND a.lo <= b.hi AND b.lo <= a.hi""",
+       SELECT DISTINCT l_suppkey FROM (SELECT l_suppkey, lo, max(hi) OVER (PARTITION BY l_suppkey ORDER BY lo, l_orderkey
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open_until FROM spans) WHERE lo <= open_until""",
 )
 def j8(spark, folder):
     """Suppliers with two orders whose shipping spans overlap, found in one sorted pass."""

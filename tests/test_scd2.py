@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from claimloom import schemas
 from claimloom.operators import dimensions, scd2
 from claimloom.operators.constraints import ConstraintError
+from claimloom.session import cut_lineage
 
 END = date(9999, 12, 31)
 
@@ -123,8 +124,8 @@ def test_apply_twice_changes_nothing(spark, make):
         member_version(4, 2, 1, "2021-06-01"),
     ])
     members = make("members", [member(1), member(2)])
-    plans = dimensions.load_dim_plan(schemas.empty(spark, "dim_plan"), make("plan_types", PLANS))
-    once = scd2.load_dim_member(schemas.empty(spark, "dim_member"), history, members, plans)
+    plans = cut_lineage(dimensions.load_dim_plan(schemas.empty(spark, "dim_plan"), make("plan_types", PLANS)))
+    once = cut_lineage(scd2.load_dim_member(schemas.empty(spark, "dim_member"), history, members, plans))
     twice = scd2.load_dim_member(once, history, members, plans)
     assert sorted(once.collect()) == sorted(twice.collect())
     assert once.filter("member_key <> -1").count() == 3
@@ -134,7 +135,7 @@ def test_apply_twice_changes_nothing(spark, make):
 def test_late_history_is_not_applied_and_new_version_closes_old(spark, make):
     providers = make("providers", [provider(1)])
     first = make("provider_network_history", [provider_version(1, 1, start="2020-01-01")])
-    once = scd2.load_dim_provider(schemas.empty(spark, "dim_provider"), first, providers)
+    once = cut_lineage(scd2.load_dim_provider(schemas.empty(spark, "dim_provider"), first, providers))
     more = make("provider_network_history", [
         provider_version(1, 1, start="2020-01-01"),
         provider_version(2, 1, "Out-of-Network", start="2019-06-01"),
@@ -170,6 +171,22 @@ def test_checks_raise(spark):
         scd2.check_versions(nested, "dim_provider", "provider_id")
 
 
+def test_overlaps_equal_pairwise_comparison(spark):
+    rng = random.Random(11)
+    spans = {}
+    for key in range(150):
+        starts = [date(2024, 1, 1) + timedelta(days=rng.randint(0, 60)) for _ in range(rng.randint(1, 4))]
+        spans[key] = [(s, s + timedelta(days=rng.randint(0, 15))) for s in starts]
+    expected = {
+        key for key, mine in spans.items()
+        if any(a[0] <= b[1] and b[0] <= a[1] for i, a in enumerate(mine) for b in mine[i + 1:])
+    }
+    df = spark.createDataFrame(
+        [(key, *span) for key, mine in spans.items() for span in mine], "k int, effective_start date, effective_end date"
+    )
+    assert {r.k for r in scd2.overlapping_versions(df, "k").collect()} == expected and expected
+
+
 def versions(spark):
     rows = [(10, 1, day("2020-01-01"), day("2020-12-31")), (11, 1, day("2021-01-01"), END), (-1, -1, day("1900-01-01"), END)]
     return spark.createDataFrame(rows, "provider_key bigint, provider_id bigint, effective_start date, effective_end date")
