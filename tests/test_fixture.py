@@ -5,11 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.operators import ledger, quality
 from claimloom.operators.constraints import constraint_report
-from claimloom.plans import integrity
-from claimloom.plans.load import reset_warehouse, run_etl
-from claimloom.plans.summary import refresh_monthly_claim_volume
+from claimloom.plans.rebuild import rebuild
+from claimloom.plans.views import register_views
 from claimloom.sources import TableStore, claims_fixture, load_profile, read_source, write_source
 from claimloom.sources.fixture import sizes
 
@@ -43,15 +41,21 @@ def test_full_load(spark, tmp_path):
     source = read_source(spark, str(tmp_path / "source"))
     assert constraint_report(source).filter("violations > 0").collect() == []
     store = TableStore(spark, str(tmp_path / "warehouse"))
-    reset_warehouse(store)
-    run_etl(store, source)
-    refresh_monthly_claim_volume(store)
+    graded = rebuild(store, source)
+    report = {r.sort_order: (r.failed, r.status) for r in graded.collect()}
+    assert report == {1: (0, "PASS"), 2: (0, "PASS"), 3: (0, "PASS"), 4: (0, "PASS"), 5: (0, "PASS"), 6: (1, "PASS"), 7: (8, "PASS")}
     tables = store.read_all()
     assert (tables["fact_claim"].count(), tables["fact_claim_line"].count()) == (2004, 7516)
-    ledger.assert_balance(ledger.source_balance(source, tables))
-    integrity.assert_integrity(integrity.integrity_report(tables))
-    integrity.assert_not_empty(integrity.smoke_counts(tables))
-    report = {r.sort_order: (r.failed, r.status) for r in quality.quality_report(tables).collect()}
-    assert report == {1: (0, "PASS"), 2: (0, "PASS"), 3: (0, "PASS"), 4: (0, "PASS"), 5: (0, "PASS"), 6: (1, "PASS"), 7: (8, "PASS")}
+    names = register_views(tables, source)
+    assert {"q01_top_providers_yoy", "q06_monthly_volume_mv", "source_balance", "dim_date", "claims"} <= set(names)
+    best = spark.sql("select max(total_paid) as paid from q01_top_providers_yoy").first().paid
+    paid = spark.sql(
+        "select sum(f.total_paid) as paid from fact_claim f join dim_date d on d.date_key = f.service_date_key "
+        "join dim_provider p on p.provider_key = f.provider_key "
+        "where d.year_number = (select max(year_number) from dim_date join fact_claim on date_key = service_date_key) "
+        "group by p.provider_id order by paid desc limit 1"
+    ).first().paid
+    assert best == paid
+    assert spark.sql("select sum(unaccounted) as n from source_balance").first().n == 0
     profile = load_profile(source, 0.001, tables["fact_claim"].first().loaded_at).first()
     assert (profile.member_count, profile.provider_count, profile.claim_count, profile.claim_line_count) == (500, 50, 2008, 7530)
