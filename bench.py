@@ -34,6 +34,8 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
             "spark.ui.showConsoleProgress": "false", "spark.log.level": "ERROR",
+            # a few megabytes per table: keep them in enough pieces for all cores
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         },
     )
     started = time.perf_counter()

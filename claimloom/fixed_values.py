@@ -109,6 +109,7 @@ LAST_NAMES = [
     "Anderson", "Thomas",
 ]
 GENDERS = ["F", "M", "F", "M", "X"]
+RESERVED_PROVIDER = "Northstar Family Medicine"
 PRACTICE_NAMES = [
     "Avery", "Blake", "Cameron", "Drew", "Ellis", "Finley", "Gray", "Harper", "Indigo", "Jordan",
 ]

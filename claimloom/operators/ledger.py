@@ -14,18 +14,30 @@ from claimloom.operators.dimensions import real_rows
 from claimloom.operators.facts import latest_reject, not_loaded
 from claimloom.operators.scd2 import MEMBER_TRACKED, PROVIDER_TRACKED
 
+# a warehouse row without a source row; not an outcome of any source row
+WAREHOUSE_ONLY = "warehouse_only"
 OUTCOMES = [fv.LOADED, fv.REJECTED, fv.HELD, fv.COLLAPSED, fv.CONFLICT, fv.UNACCOUNTED]
 
 
 def claim_disposition(claims: DataFrame, fact_claim: DataFrame, letters: DataFrame) -> DataFrame:
     """Outcome and reject reason of every source claim."""
+    return _claim_outcomes(claims, fact_claim, letters, "left")
+
+
+def _claim_outcomes(claims: DataFrame, fact_claim: DataFrame, letters: DataFrame, how: str) -> DataFrame:
+    """Outcomes from a ``left`` join, or with fact rows that have no source row from a ``full`` one."""
+    in_source = claims.select("claim_id", F.lit(True).alias("_source"))
     on_fact = fact_claim.select("claim_id", F.lit(True).alias("_loaded"))
     rejects = latest_reject(letters, fv.CLAIM_PIPELINE)
-    keyed = claims.select("claim_id", F.col("claim_id").cast("string").alias("source_key"))
-    joined = keyed.join(on_fact, "claim_id", "left").join(rejects, "source_key", "left")
+    joined = (
+        in_source.join(on_fact, "claim_id", how)
+        .withColumn("source_key", F.col("claim_id").cast("string"))
+        .join(rejects, "source_key", "left")
+    )
     loaded, rejected = F.col("_loaded").isNotNull(), F.col("reject_reason").isNotNull()
     outcome = (
-        F.when(loaded & rejected, fv.CONFLICT)
+        F.when(F.col("_source").isNull(), WAREHOUSE_ONLY)
+        .when(loaded & rejected, fv.CONFLICT)
         .when(loaded, fv.LOADED)
         .when(rejected, fv.REJECTED)
         .otherwise(fv.UNACCOUNTED)
@@ -35,22 +47,26 @@ def claim_disposition(claims: DataFrame, fact_claim: DataFrame, letters: DataFra
 
 def claim_line_disposition(lines: DataFrame, fact_line: DataFrame, letters: DataFrame) -> DataFrame:
     """Outcome and reject reason of every source line; the line's own reason comes first."""
+    return _line_outcomes(lines, fact_line, letters, "left")
+
+
+def _line_outcomes(lines: DataFrame, fact_line: DataFrame, letters: DataFrame, how: str) -> DataFrame:
     on_fact = fact_line.select("claim_id", "line_number", F.lit(True).alias("_placed"))
     own = latest_reject(letters, fv.LINE_PIPELINE).withColumnRenamed("reject_reason", "_own")
     header = latest_reject(letters, fv.CLAIM_PIPELINE).select(
         F.col("source_key").cast("bigint").alias("claim_id"), F.col("reject_reason").alias("_header")
     )
-    keyed = lines.select(
-        "claim_line_id", "claim_id", "line_number", F.col("claim_line_id").cast("string").alias("source_key")
-    )
     joined = (
-        keyed.join(on_fact, ["claim_id", "line_number"], "left")
+        lines.select("claim_line_id", "claim_id", "line_number")
+        .join(on_fact, ["claim_id", "line_number"], how)
+        .withColumn("source_key", F.col("claim_line_id").cast("string"))
         .join(own, "source_key", "left")
         .join(header, "claim_id", "left")
     )
     placed, own_reject, held = (F.col(c).isNotNull() for c in ("_placed", "_own", "_header"))
     outcome = (
-        F.when(placed & (own_reject | held), fv.CONFLICT)
+        F.when(F.col("claim_line_id").isNull(), WAREHOUSE_ONLY)
+        .when(placed & (own_reject | held), fv.CONFLICT)
         .when(placed, fv.LOADED)
         .when(own_reject, fv.REJECTED)
         .when(held, fv.HELD)
@@ -119,7 +135,7 @@ def source_balance(source: dict[str, DataFrame], tables: dict[str, DataFrame]) -
     member = real_rows(tables["dim_member"], "dim_member")
     provider = real_rows(tables["dim_provider"], "dim_provider")
     letters = tables["etl_dead_letter"]
-    entities: list[tuple[str, DataFrame, DataFrame]] = []
+    entities: list[tuple[str, DataFrame, DataFrame | None]] = []
     for name, table, key in (
         ("plan_types", "dim_plan", "plan_id"),
         ("diagnosis_codes", "dim_diagnosis", "diagnosis_code"),
@@ -142,32 +158,22 @@ def source_balance(source: dict[str, DataFrame], tables: dict[str, DataFrame]) -
                 _extra_rows(dim, source[history].select(key, "effective_start").distinct(), [key, "effective_start"]),
             )
         )
+    # the two large facts meet their source once: a full join finds both kinds of orphan
+    entities.append(("claims", _claim_outcomes(source["claims"], tables["fact_claim"], letters, "full"), None))
     entities.append(
-        (
-            "claims",
-            claim_disposition(source["claims"], tables["fact_claim"], letters),
-            _extra_rows(tables["fact_claim"], source["claims"], ["claim_id"]),
-        )
-    )
-    entities.append(
-        (
-            "claim_lines",
-            claim_line_disposition(source["claim_lines"], tables["fact_claim_line"], letters),
-            _extra_rows(tables["fact_claim_line"], source["claim_lines"], ["claim_id", "line_number"]),
-        )
+        ("claim_lines", _line_outcomes(source["claim_lines"], tables["fact_claim_line"], letters, "full"), None)
     )
     rows = []
     for order, (name, disposition, extra) in enumerate(entities, start=1):
+        orphan = F.col("disposition") == WAREHOUSE_ONLY
         counts = disposition.agg(
-            F.count(F.lit(1)).alias("source_rows"),
+            F.count_if(~orphan).alias("source_rows"),
             *[F.count_if(F.col("disposition") == outcome).alias(outcome) for outcome in OUTCOMES],
+            F.count_if(orphan).alias(WAREHOUSE_ONLY),
         )
-        rows.append(
-            counts.select(
-                F.lit(order).alias("sort_order"), F.lit(name).alias("entity"), "*",
-                extra.scalar().alias("warehouse_only"),
-            )
-        )
+        if extra is not None:
+            counts = counts.withColumn(WAREHOUSE_ONLY, extra.scalar())
+        rows.append(counts.select(F.lit(order).alias("sort_order"), F.lit(name).alias("entity"), "*"))
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -305,8 +305,10 @@ def provider_ytd_threshold(tables: Tables, threshold: int = THRESHOLD) -> DataFr
         F.max("ytd").alias("ytd_paid"),
         F.min(F.when(crossing, F.col("calendar_date"))).alias("crossed_one_million_on"),
     )
+    # sorting samples its input first; an exchange of the few totals keeps that from running the window twice
     return (
-        totals.join(_current_provider(tables["dim_provider"], "provider_name"), "provider_id")
+        totals.repartition("provider_id")
+        .join(_current_provider(tables["dim_provider"], "provider_name"), "provider_id")
         .select(
             "provider_id", "provider_name", "year_number", "ytd_paid", "crossed_one_million_on",
             F.col("crossed_one_million_on").isNotNull().alias("crossed_one_million"),

@@ -164,7 +164,7 @@ def _providers(spark: SparkSession, count: int, places: DataFrame) -> tuple[Data
     base = series(spark, 1, count).join(places, n % 10 == F.col("place")).select(
         n.alias("provider_id"),
         F.lpad(n.cast("string"), 10, "0").alias("npi"),
-        unless_reserved(name, "Northstar Family Medicine").alias("provider_name"),
+        unless_reserved(name, fv.RESERVED_PROVIDER).alias("provider_name"),
         unless_reserved(kind, "Physician").alias("provider_type"),
         unless_reserved(F.col("city"), "Austin").alias("city"),
         unless_reserved(F.col("place_state"), "TX").alias("state"),

@@ -171,6 +171,8 @@ def test_dispositions(make):
     assert {r.claim_id: (r.disposition, r.reject_reason) for r in got} == {
         1: ("loaded", None), 2: ("rejected", "r2"), 3: ("conflict", "r3"), 4: ("unaccounted", None),
     }
+    both = ledger._claim_outcomes(make("claims", [claim(1), claim(2)]), make("fact_claim", [{"claim_id": 1}, {"claim_id": 9}]), log, "full")
+    assert {r.claim_id: r.disposition for r in both.collect()} == {1: "loaded", 2: "rejected", 9: "warehouse_only"}
     placed = make("fact_claim_line", [{"claim_id": 1, "line_number": n} for n in (1, 2)])
     rows = make("claim_lines", [line(1, 1), line(1, 2), line(2, 1), line(3, 1), line(4, 1)])
     got = ledger.claim_line_disposition(rows, placed, log).collect()
