@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import language, mixing, packing, simhash, simple8b
+from claimloom.llm import language, mixing, packing, sharding, simhash, simple8b, topk
 from claimloom.llm.common import doc_bucket, table, word_count
 from claimloom.session import shared_dir
 
@@ -22,6 +22,25 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten highest inner products of every hundredth vector among all others."""
+    return topk.top_k(table(spark, folder, "embeddings"), F.pmod(F.col("vec_id"), F.lit(100)) == 0)
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+)
+SELECT query_id, CAST(r AS INT) AS rank, vec_id, score FROM ranked WHERE r <= 10
+"""
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents mixed by words to weights 5, 2, 1 of their sources."""
     mixed = mixing.mix(table(spark, folder, "documents"), word_count("text"))
@@ -58,6 +77,14 @@ FROM epochs
 """
 
 
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in 40 shards of near-equal bytes, equal texts together as far as the sizes allow."""
+    placed = sharding.shard_documents(table(spark, folder, "documents"), 40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as Simple-8b files of byte-level ids, and what the files say about each."""
     files = f"{shared_dir(spark)}/tokens-{uuid4().hex[:12]}"
@@ -81,9 +108,11 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_top_k": op2_top_k,
     "op4_mixing": op4_mixing,
+    "op6_sharding": op6_sharding,
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }
-ORACLE: dict[str, str] = {"op4_mixing": OP4_SQL}
+ORACLE: dict[str, str] = {"op2_top_k": OP2_SQL, "op4_mixing": OP4_SQL}
