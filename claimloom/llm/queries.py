@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import language, mixing, packing, sharding, simhash, simple8b, topk
+from claimloom.llm import fingerprints, language, mixing, packing, sharding, simhash, simple8b, topk
 from claimloom.llm.common import doc_bucket, table, word_count
 from claimloom.session import shared_dir
 
@@ -41,6 +41,11 @@ SELECT query_id, CAST(r AS INT) AS rank, vec_id, score FROM ranked WHERE r <= 10
 """
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Weighted fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprint_documents(table(spark, folder, "documents"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents mixed by words to weights 5, 2, 1 of their sources."""
     mixed = mixing.mix(table(spark, folder, "documents"), word_count("text"))
@@ -109,6 +114,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_top_k": op2_top_k,
+    "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
     "op6_sharding": op6_sharding,
     "op8_token_files": op8_token_files,
