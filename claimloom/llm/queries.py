@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import fingerprints, language, mixing, packing, sharding, simhash, simple8b, topk
+from claimloom.llm import fingerprints, language, mixing, packing, quality, sharding, simhash, simple8b, topk
 from claimloom.llm.common import doc_bucket, table, word_count
 from claimloom.session import shared_dir
 
@@ -90,6 +90,14 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from labels of those whose id's crc32 is not 0 modulo 5."""
+    docs = table(spark, folder, "documents")
+    held_out = doc_bucket("doc_id", 5) == 0
+    model = quality.learn(docs.where(~held_out), table(spark, folder, "labels"))
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as Simple-8b files of byte-level ids, and what the files say about each."""
     files = f"{shared_dir(spark)}/tokens-{uuid4().hex[:12]}"
@@ -117,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
     "op6_sharding": op6_sharding,
+    "op7_quality": op7_quality,
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
