@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import fingerprints, language, mixing, packing, quality, sharding, simhash, simple8b, topk
+from claimloom.llm import fingerprints, language, lines, mixing, packing, quality, sharding, simhash, simple8b, topk
 from claimloom.llm.common import doc_bucket, table, word_count
 from claimloom.session import shared_dir
 
@@ -82,6 +82,11 @@ FROM epochs
 """
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of every document with the first line of its class, and whether it is kept."""
+    return lines.classify_lines(table(spark, folder, "documents")).drop("text_hash")
+
+
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Documents in 40 shards of near-equal bytes, equal texts together as far as the sizes allow."""
     placed = sharding.shard_documents(table(spark, folder, "documents"), 40)
@@ -124,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op2_top_k": op2_top_k,
     "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,
     "op8_token_files": op8_token_files,
