@@ -1,4 +1,4 @@
-"""Synthetic diagnosis codes: a chapter letter, a two-digit family and a three-digit sequence."""
+"""Synthetic diagnosis codes: a chapter letter, a two-digit family and a sequence of at least three digits."""
 
 from __future__ import annotations
 
@@ -14,12 +14,13 @@ def make_diagnosis_code(number: Column) -> Column:
     """Code of the 1-based catalog number; letter and sequence together keep it unique."""
     zero_based = number.cast("bigint") - 1
     letter_at = (zero_based % len(_LETTERS) + 1).cast("int")
-    sequence = ((zero_based - zero_based % len(_LETTERS)) / len(_LETTERS)).cast("bigint")
+    sequence = F.call_function("div", zero_based, F.lit(len(_LETTERS)))
+    digits = sequence.cast("string")
     return F.concat(
         F.substring(F.lit(_LETTERS), letter_at, F.lit(1)),
         F.lpad((sequence % 100).cast("string"), 2, "0"),
         F.lit("."),
-        F.lpad(sequence.cast("string"), 3, "0"),
+        F.lpad(digits, F.greatest(F.lit(3), F.length(digits)), F.lit("0")),
     )
 
 

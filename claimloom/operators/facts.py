@@ -84,13 +84,17 @@ def claim_dead_letters(batch: DataFrame, now: datetime) -> DataFrame:
     return dead_letters(rejected, fv.CLAIM_PIPELINE, fv.CLAIM_SOURCE, "claim_id", now)
 
 
-def dead_letters(rejected: DataFrame, pipeline: str, source: str, key: str, now: datetime) -> DataFrame:
+def dead_letters(
+    rejected: DataFrame, pipeline: str, source: str, key: str, now: datetime, reason_length: int | None = None
+) -> DataFrame:
+    """Letters of rejected rows. Only the line pipeline cuts its reasons, to ``REASON_LENGTH`` characters."""
+    reason = F.col("reject_reason") if reason_length is None else F.left("reject_reason", F.lit(reason_length))
     return rejected.select(
         *_if_numbered(rejected, "dead_letter_id"),
         F.lit(pipeline).alias("pipeline_name"),
         F.lit(source).alias("source_table"),
         F.col(key).cast("string").alias("source_key"),
-        F.left("reject_reason", F.lit(fv.REASON_LENGTH)).alias("reject_reason"),
+        reason.alias("reject_reason"),
         F.lit(now).alias("rejected_at"),
     )
 
@@ -199,7 +203,7 @@ def line_dead_letters(
     explained = date_role(unplaced, dims["dim_date"], "service_date", "service_date_key").withColumn(
         "reject_reason", line_reject(placed=F.lit(False))
     )
-    return dead_letters(explained, fv.LINE_PIPELINE, fv.LINE_SOURCE, "claim_line_id", now)
+    return dead_letters(explained, fv.LINE_PIPELINE, fv.LINE_SOURCE, "claim_line_id", now, fv.REASON_LENGTH)
 
 
 def replace_line_letters(prior: DataFrame, current: DataFrame) -> DataFrame:

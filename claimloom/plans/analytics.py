@@ -38,7 +38,7 @@ def top_providers_yoy(tables: Tables, top: int = TOP) -> DataFrame:
     All versions of a provider count, under its current name. A gap year has no prior amount.
     """
     per_version = (
-        _with_day(tables["fact_claim"], tables["dim_date"], "year_number")
+        _with_day(tables["fact_claim"].filter("provider_key is not null"), tables["dim_date"], "year_number")
         .groupBy("provider_key", "year_number")
         .agg(F.sum("total_paid").alias("paid"))
     )

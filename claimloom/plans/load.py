@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from claimloom import fixed_values as fv
 from claimloom import schemas
+from claimloom.operators.constraints import enforce
 from claimloom.operators.dimensions import (
     key_of,
     load_dim_date,
@@ -36,6 +37,8 @@ from claimloom.operators.scd2 import check_versions, member_changes, provider_ch
 from claimloom.session import together
 from claimloom.sources.store import Run, TableStore
 
+# What a load demands of its source. Orphan claims and lines are not among it: they become dead letters.
+SOURCE_RULES = [("unique", None), ("foreign key", "member_plan_history"), ("foreign key", "provider_network_history")]
 DIMENSIONS = ["dim_date", "dim_plan", "dim_diagnosis", "dim_procedure", "dim_member", "dim_provider"]
 
 
@@ -55,12 +58,16 @@ def run_etl(
     source: dict[str, DataFrame],
     calendar: tuple[str | date, str | date] = (fv.CALENDAR_START, fv.CALENDAR_END),
     now: datetime | None = None,
+    rules: list[tuple[str, str | None]] = SOURCE_RULES,
 ) -> int:
     """Load every source table and publish the new version. ``now`` stamps all rows of the run.
 
-    A failed check raises before the manifest is written, so the published state stays as it was.
+    The source must keep the declared constraints named by ``rules``, pairs of a kind and a table
+    (None: every table): a repeated key would double facts, and a version of an unknown plan or
+    entity would close its predecessor and then vanish. A failed check raises before the manifest is written, so the published state stays as it was.
     """
     now = now or datetime.now()
+    enforce(source, rules)
     run = store.begin()
     dims = _load_dimensions(run, source, calendar)
     letters, marks = _load_claims(run, source, dims, now)
@@ -154,7 +161,7 @@ def _load_lines(
     last = F.greatest(next_key(letters, "dead_letter_id"), next_key(run.read("etl_dead_letter"), "dead_letter_id"))
     line_letters = dead_letters(
         assign_keys_by_file(rejected, "dead_letter_id", last),
-        fv.LINE_PIPELINE, fv.LINE_SOURCE, "claim_line_id", now,
+        fv.LINE_PIPELINE, fv.LINE_SOURCE, "claim_line_id", now, fv.REASON_LENGTH,
     )
     together(
         run.store.spark,

@@ -20,6 +20,7 @@ from claimloom.plans.load import DIMENSIONS
 from claimloom.registry.base import loaded, query
 from claimloom.registry.mapping import UTILIZATION, table
 from claimloom.registry.model_sql import cents, ratio
+from claimloom.session import cut_lineage
 from claimloom.sources import calendar, load_profile, series, values_relation
 
 _RUN = datetime(2026, 1, 1)
@@ -164,7 +165,7 @@ def s9(spark, folder):
     report = loaded(spark, folder).tables["fact_claim"].groupBy("claim_status").agg(
         F.count(F.lit(1)).alias("claims"), F.sum("total_paid").alias("total_paid")
     )
-    return report.persist()
+    return cut_lineage(report)
 
 
 # --- P: projections and predicates ---
@@ -431,7 +432,7 @@ def j7(spark, folder):
 @query(
     "j8_overlapping_ranges", "l_suppkey bigint",
     """WITH spans AS (SELECT l_suppkey, l_orderkey, min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi
-                      FROM lineitem GROUP BY l_suppkey, l_orderkey HAVING count(*) > 1)
+                      FROM lineitem GROUP BY l_suppkey, l_orderkey)
        SELECT DISTINCT l_suppkey FROM (SELECT l_suppkey, lo, max(hi) OVER (PARTITION BY l_suppkey ORDER BY lo, l_orderkey
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open_until FROM spans) WHERE lo <= open_until""",
 )
@@ -440,8 +441,7 @@ def j8(spark, folder):
     day = F.col("l_shipdate").cast("date")
     spans = (
         table(spark, folder, "lineitem").groupBy("l_suppkey", "l_orderkey")
-        .agg(F.min(day).alias("effective_start"), F.max(day).alias("effective_end"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
+        .agg(F.min(day).alias("effective_start"), F.max(day).alias("effective_end"))
     )
     return overlapping_versions(spans, "l_suppkey")
 
@@ -995,7 +995,8 @@ def f9(spark, folder):
 
 _CODE = (
     "substr('ABCDEFGHIJKLMNOPQR', CAST(1 + (p_partkey % 18) AS INTEGER), 1) || "
-    "lpad(CAST((p_partkey // 18) % 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(p_partkey // 18 AS VARCHAR), 3, '0')"
+    "lpad(CAST((p_partkey // 18) % 100 AS VARCHAR), 2, '0') || '.' || "
+    "lpad(CAST(p_partkey // 18 AS VARCHAR), CAST(greatest(3, length(CAST(p_partkey // 18 AS VARCHAR))) AS INTEGER), '0')"
 )
 
 

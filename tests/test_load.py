@@ -206,3 +206,18 @@ def test_history_outcomes_and_warehouse_only(source_of, store):
     assert (report["members"]["unaccounted"], report["members"]["warehouse_only"]) == (1, 1)
     with pytest.raises(ConstraintError, match="members"):
         ledger.assert_balance(ledger.source_balance(gone, tables))
+
+
+@pytest.mark.parametrize("broken", [
+    {"claims": [claim(1), claim(1)], "claim_lines": [line(1, 1)]},
+    {"claims": [claim(1)], "claim_lines": [line(1, 1), line(1, 1)]},
+    {"member_plan_history": [member_version(1, 1), member_version(2, 1, plan_id=77, start="2022-01-01")]},
+    {"provider_network_history": [provider_version(1, 1), provider_version(2, 99)]},
+])
+def test_broken_source_publishes_nothing(source_of, store, broken):
+    reset_warehouse(store)
+    run_etl(store, source_of(claims=[claim(5)], claim_lines=[line(5, 1)]), now=NOW)
+    before = store.read("fact_claim").count()
+    with pytest.raises(ConstraintError):
+        run_etl(store, source_of(**broken), now=NOW)
+    assert before == 1 and [r.claim_id for r in store.read("fact_claim").collect()] == [5]
