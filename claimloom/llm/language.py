@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.session import cut_lineage
+
 # Bounds of the labelled sample of one language: documents, and characters of distinct words.
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 150_000
@@ -97,19 +99,29 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     Per language: the ``docs`` documents of least id hash, and of their distinct words, in order of
     appearance, up to ``chars`` characters. The bound is per language; languages are few. Rows with
     null text or language are left out.
+
+    The texts that travel are those below the hash at which about twice the sample of their language is
+    expected, and that is raised for a language whose sample is not full.
     """
+    named = labelled.select(F.col(key).cast("string").alias("k"), F.left(F.col(text), F.lit(chars)).alias("text"), F.col(lang).cast("string").alias("lang"))
+    known = {r.lang: r["count"] for r in named.where("text is not null and lang is not null").groupBy("lang").count().collect()}
+    share = {name: min(1.0, 2 * docs / count) for name, count in known.items()}
     order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), F.col("k"), F.col("text"))
-    chosen = (
-        labelled.select(F.col(key).cast("string").alias("k"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-        .where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= docs)
-        .orderBy("lang", "n")
-        .select("lang", F.left("text", F.lit(chars)).alias("text"))
-    )
+    while known:
+        most = {name: min(int(part * 2.0**64) - (1 << 63), (1 << 63) - 1) for name, part in share.items()}
+        limits = F.create_map(*[F.lit(part) for pair in most.items() for part in pair])
+        near = named.where(F.col("text").isNotNull() & (F.xxhash64("k") <= limits[F.col("lang")]))
+        chosen = cut_lineage(near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs).select("lang", "n", "text"))
+        full = {r.lang: r["count"] for r in chosen.groupBy("lang").count().collect()}
+        short = [name for name, count in known.items() if share[name] < 1.0 and full.get(name, 0) < min(docs, count)]
+        if not short:
+            break
+        share.update({name: min(1.0, 4 * share[name]) for name in short})
+    if not known:
+        return {}
     seen: dict[str, dict[str, None]] = {}
     size: dict[str, int] = {}
-    for row in chosen.toLocalIterator():
+    for row in chosen.orderBy("lang", "n").toLocalIterator():
         words = seen.setdefault(row.lang, {})
         for word in _LETTERS.findall(row.text.lower()):
             if size.get(row.lang, 0) >= chars:
