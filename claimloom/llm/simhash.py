@@ -7,16 +7,18 @@ to one of them links them all, without listing pairs.
 
 The values travel grouped: those of a fingerprint that agree in their leading ``KEY_BITS`` bits go
 as one row (value's leading bits, fingerprint, flips left), and the receiving task writes them out.
-For 64 bits and radius 4 that is 137 narrow rows for 2,081 values.
+For 64 bits and radius 4 that is 137 narrow rows for 2,081 values. Where a key has more values than
+``VALUES_AT_ONCE``, its rows go by ``MORE_BITS`` further bits of the same values, and so on; of a
+whole value only the fingerprints within r/2 of it are left, 2,081 at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
+from itertools import combinations, pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -28,7 +30,10 @@ from claimloom.session import cut_lineage
 BITS = 64
 KEY_BITS = 16
 
-# Values written out at once in one task; a key with more is taken whole.
+# Further leading bits that the rows of a key with too many values are told apart by.
+MORE_BITS = 8
+
+# Values written out at once in one task; a key with more is told apart by further bits.
 VALUES_AT_ONCE = 3_000_000
 
 # Hashes whose bits are counted at once.
@@ -81,11 +86,11 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _meet(keys: np.ndarray, prints: np.ndarray, left: np.ndarray, masks: list[np.ndarray], radius: int) -> tuple[np.ndarray, np.ndarray]:
+def _meet(keys: np.ndarray, prints: np.ndarray, left: np.ndarray, masks: list[np.ndarray], radius: int, low_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprint, another one at most ``radius`` bits away) forests of what meets among the given rows."""
-    low = np.uint64((1 << (BITS - KEY_BITS)) - 1)
+    low = np.uint64((1 << low_bits) - 1)
     nodes, index = np.unique(prints, return_inverse=True)
-    lows = (keys << np.uint64(BITS - KEY_BITS)) | (prints & low)
+    lows = (keys << np.uint64(low_bits)) | (prints & low)
     values, sources = [], []
     for flips, mask in enumerate(masks):
         which = np.flatnonzero(left == flips)
@@ -123,27 +128,38 @@ def _meet(keys: np.ndarray, prints: np.ndarray, left: np.ndarray, masks: list[np
     return nodes[moved], nodes[label[moved]]
 
 
-def links(distinct: DataFrame, radius: int = 4, fp: str = "fp") -> DataFrame:
-    """``a, b``: links of distinct fingerprints whose components are those of all pairs within ``radius`` bits."""
-    if radius < 0 or radius % 2:
-        raise ValueError("the radius must be even: both sides emit the values within half of it")
-    half, low_bits = radius // 2, BITS - KEY_BITS
-    starts = [F.struct(F.lit(_signed(m << low_bits)).alias("m"), F.lit(half - n).alias("left")) for m, n in _flips(range(KEY_BITS), half)]
-    masks = [np.array([m for m, _ in _flips(range(low_bits), n)], dtype=np.uint64) for n in range(half + 1)]
-    written_out = np.array([len(m) for m in masks])
+def _narrowed(rows: DataFrame, had: int, bits: int, half: int) -> DataFrame:
+    """``key, fp, left`` rows of ``had`` leading bits as rows of ``bits`` leading bits, with the same values."""
+    low, all_flips = BITS - bits, _flips(range(bits - had), half)
+    ways = F.array(*[F.struct(F.lit(_signed(m << low)).alias("m"), F.lit(n).cast("tinyint").alias("n")) for m, n in all_flips])
+    own = F.shiftrightunsigned(F.shiftleft(F.col("fp").bitwiseXOR(F.col("s.m")), had), had + low)
+    spread = rows.select("key", "fp", "left", F.explode(ways).alias("s")).where(F.col("s.n") <= F.col("left"))
+    key = F.shiftleft("key", bits - had).bitwiseOR(own)
+    return spread.select(key.alias("key"), "fp", (F.col("left") - F.col("s.n")).cast("tinyint").alias("left"))
+
+
+def _masks(low_bits: int, half: int) -> list[np.ndarray]:
+    """The flips of at most 0, 1, ... ``half`` of the low bits."""
+    return [np.array([m for m, _ in _flips(range(low_bits), n)], dtype=np.uint64) for n in range(half + 1)]
+
+
+def _heavy(rows: DataFrame, masks: list[np.ndarray]) -> DataFrame:
+    """``key``: those with more than ``VALUES_AT_ONCE`` values, so at most one in as many of all values."""
+    values = F.get(F.array(*[F.lit(len(m)).cast("bigint") for m in masks]), F.col("left").cast("int"))
+    return cut_lineage(rows.groupBy("key").agg(F.sum(values).alias("n")).where(F.col("n") > VALUES_AT_ONCE).select("key"))
 
-    emitted = distinct.select(F.col(fp).alias("fp"), F.explode(F.array(*starts)).alias("s")).select(
-        F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("s.m")), low_bits).cast("int").alias("key"), "fp",
-        F.col("s.left").cast("tinyint").alias("left"),
-    )
-    met = emitted.repartition("key").sortWithinPartitions("key")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+def _met(rows: DataFrame, masks: list[np.ndarray], radius: int, low_bits: int) -> DataFrame:
+    """``a, b``: links of what meets among the values of ``key, fp, left`` rows."""
+    written_out = np.array([len(m) for m in masks])
+    met = rows.repartition("key").sortWithinPartitions("key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
 
-        def settled(parts: list[tuple]) -> pd.DataFrame:
+        def settled(parts: list[tuple]) -> pa.RecordBatch:
             keys, prints, left = (np.concatenate(x) for x in zip(*parts, strict=True))
-            a, b = _meet(keys.astype(np.uint64), prints.view(np.uint64), left, masks, radius)
+            a, b = _meet(keys.view(np.uint64), prints.view(np.uint64), left, masks, radius, low_bits)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
@@ -151,19 +167,41 @@ def links(distinct: DataFrame, radius: int = 4, fp: str = "fp") -> DataFrame:
             kept.append(part)
             size += int(written_out[part[2]].sum())
             if size >= VALUES_AT_ONCE:
-                keys = np.concatenate([p[0] for p in kept])
-                last = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
-                if last:
-                    whole = tuple(np.concatenate(x) for x in zip(*kept, strict=True))
-                    yield settled([tuple(x[:last] for x in whole)])
-                    kept = [tuple(x[last:] for x in whole)]
-                    size = int(written_out[kept[0][2]].sum())
+                whole = tuple(np.concatenate(x) for x in zip(*kept, strict=True))
+                starts = np.flatnonzero(np.concatenate(([True], whole[0][1:] != whole[0][:-1])))
+                sizes = np.add.reduceat(written_out[whole[2]], starts)
+                at = (np.cumsum(sizes) - sizes) // VALUES_AT_ONCE
+                last = int(starts[-1])  # the last key may go on
+                bounds = np.unique(np.concatenate(([0], starts[1:][at[1:] != at[:-1]], [last])))
+                for begin, end in pairwise(bounds.tolist()):
+                    yield settled([tuple(x[begin:end] for x in whole)])
+                kept = [tuple(x[last:] for x in whole)]
+                size = int(sizes[-1])
         if kept:
             yield settled(kept)
 
     return met.mapInArrow(run, "a bigint, b bigint")
 
 
+def links(distinct: DataFrame, radius: int = 4, fp: str = "fp") -> DataFrame:
+    """``a, b``: links of distinct fingerprints whose components are those of all pairs within ``radius`` bits."""
+    if radius < 0 or radius % 2:
+        raise ValueError("the radius must be even: both sides emit the values within half of it")
+    half, bits = radius // 2, KEY_BITS
+    whole = distinct.select(F.lit(0).cast("bigint").alias("key"), F.col(fp).alias("fp"), F.lit(half).cast("tinyint").alias("left"))
+    rows, found = _narrowed(whole, 0, bits, half), []
+    while bits < BITS:
+        masks = _masks(BITS - bits, half)
+        heavy = _heavy(rows, masks)
+        if heavy.isEmpty():
+            break
+        found.append(_met(rows.join(F.broadcast(heavy), "key", "left_anti"), masks, radius, BITS - bits))
+        rows = _narrowed(rows.join(F.broadcast(heavy), "key", "left_semi"), bits, bits + MORE_BITS, half)
+        bits += MORE_BITS
+    found.append(_met(rows, _masks(BITS - bits, half), radius, BITS - bits))
+    return reduce(DataFrame.union, found)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document.
 
