@@ -66,15 +66,17 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * set_in > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``doc_id, fp``: the fingerprint of every whole text as a signed number. Null text: as empty."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, seed: int = 42, also: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp``: the fingerprint of every whole text as a signed number, and the columns ``also``. Null text: as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *also])
 
-    chosen = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInArrow(run, "doc_id bigint, fp bigint")
+    chosen = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *also)
+    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[2:])
+    return chosen.mapInArrow(run, f"doc_id bigint, fp bigint{kinds}")
 
 
 def _flips(bits: range, most: int) -> list[tuple[int, int]]:
@@ -202,6 +204,25 @@ def links(distinct: DataFrame, radius: int = 4, fp: str = "fp") -> DataFrame:
     return reduce(DataFrame.union, found)
 
 
+def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
+    """``fp, least, root`` of ``fp, least`` rows: the least fingerprint that each one reaches."""
+    roots = components(cut_lineage(links(nodes, radius)))
+    return nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def firsts(docs: DataFrame, text_hash: str, key: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
+    """``doc_id, text_hash`` of the first document with an id of every component of near-duplicates.
+
+    Texts under one id are told apart by their hash, the column named ``text_hash``.
+    """
+    printed = cut_lineage(fingerprints(docs.where(F.col(key).isNotNull()), key, text, shingle, seed, (text_hash,)))
+    linking = printed.select("fp").union(fingerprints(docs.where(F.col(key).isNull()), key, text, shingle, seed).select("fp"))
+    nodes = cut_lineage(linking.distinct().select("fp", F.lit(None).cast("bigint").alias("least")))
+    first = F.min(F.struct("doc_id", text_hash)).alias("first")
+    chosen = printed.join(cut_lineage(_rooted(nodes, radius)), "fp").groupBy("root").agg(first)
+    return chosen.select("first.doc_id", F.col(f"first.{text_hash}").alias(text_hash))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document.
 
@@ -213,9 +234,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     printed = cut_lineage(fingerprints(docs, key, text, shingle, seed))
     nodes = cut_lineage(printed.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(cut_lineage(links(nodes, radius)))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = cut_lineage(rooted)
+    rooted = cut_lineage(_rooted(nodes, radius))
     named = rooted.where("root != fp").groupBy("root").agg(F.min("least").alias("others"))
     ids = rooted.join(named, "root", "left").join(
         nodes.select(F.col("fp").alias("root"), F.col("least").alias("root_least")), "root"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from claimloom.llm import language, lines, mixing, packing, simhash
 from claimloom.llm.common import doc_bucket, settle, table, word_count
-from claimloom.session import shared_dir
+from claimloom.session import cut_lineage, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -34,13 +34,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of every group of near-duplicates; documents without an id stay."""
+    """The document of least id of every group of near-duplicates; documents without an id stay.
+
+    Texts that share an id are documents of their own, each judged by its own group.
+    """
     settle(spark)
-    groups = simhash.near_duplicates(docs, shingle=4, radius=4)
-    dropped = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    unique = docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti")
-    named = unique.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(unique.where("doc_id is null")).select(*COLUMNS)
+    hashed = docs.select(*COLUMNS, F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    first = cut_lineage(simhash.firsts(hashed, "text_hash", shingle=4, radius=4))
+    named = hashed.join(first, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return named.unionByName(hashed.where("doc_id is null")).select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
