@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import fingerprints, language, lines, mixing, packing, quality, sharding, simhash, simple8b, topk
+from claimloom.llm import fingerprints, hard_negatives, language, lines, mixing, packing, quality, sharding, simhash, simple8b, topk
 from claimloom.llm.common import doc_bucket, table, word_count
 from claimloom.session import shared_dir
 
@@ -124,6 +124,36 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of other labels that score between 80 % and all of what a positive of an anchor does."""
+    relabelled = F.when(F.pmod(F.col("vec_id"), F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", relabelled)
+    return hard_negatives.mine(vectors, F.pmod(F.col("vec_id"), F.lit(100)) == 0)
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_top_k": op2_top_k,
@@ -135,5 +165,6 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
+    "op12_hard_negatives": op12_hard_negatives,
 }
-ORACLE: dict[str, str] = {"op2_top_k": OP2_SQL, "op4_mixing": OP4_SQL}
+ORACLE: dict[str, str] = {"op2_top_k": OP2_SQL, "op4_mixing": OP4_SQL, "op12_hard_negatives": OP12_SQL}
