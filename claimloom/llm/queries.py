@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import fingerprints, hard_negatives, language, lines, mixing, packing, quality, sharding, simhash, simple8b, topk
+from claimloom.llm import decontaminate, fingerprints, hard_negatives, language, lines, mixing, packing, quality, sharding, simhash, simple8b, topk
 from claimloom.llm.common import doc_bucket, table, word_count
 from claimloom.session import shared_dir
 
@@ -124,6 +124,42 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
 
 
+def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """What every document shares with the windows of ten words of all benchmark items."""
+    found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
+    n_hit = F.aggregate("found.spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"])
+    items = F.array_join("found.items", ",").cast("binary")
+    return found.select("doc_id", "found.n_words", n_hit.alias("n_hit"), F.size("found.items").cast("bigint").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+OP11_SQL = r"""
+WITH said AS (
+  SELECT doc_id, row_number() OVER () AS place,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), asked AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+), cut AS (
+  SELECT item, w, least(10, len(w)) AS k, unnest(range(1, CAST(len(w) - least(10, len(w)) + 2 AS BIGINT))) AS i FROM asked WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS gram FROM cut
+), starts AS (
+  SELECT place, w, k, unnest(range(1, CAST(len(w) - k + 2 AS BIGINT))) AS i FROM said, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k
+), met AS (
+  SELECT place, i, s.k, item FROM starts s JOIN windows x ON x.k = s.k AND x.gram = array_to_string(s.w[i:i + s.k - 1], ' ')
+), hits AS (
+  SELECT place, count(DISTINCT at) AS n_hit FROM (SELECT place, unnest(range(i, i + k)) AS at FROM (SELECT DISTINCT place, i, k FROM met)) GROUP BY place
+), named AS (
+  SELECT place, count(*) AS n_items, string_agg(item, ',' ORDER BY encode(item)) AS items FROM (SELECT DISTINCT place, item FROM met) GROUP BY place
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM said LEFT JOIN hits USING (place) LEFT JOIN named USING (place)
+"""
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of other labels that score between 80 % and all of what a positive of an anchor does."""
     relabelled = F.when(F.pmod(F.col("vec_id"), F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
@@ -165,6 +201,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
+    "op11_decontaminate": op11_decontaminate,
     "op12_hard_negatives": op12_hard_negatives,
 }
-ORACLE: dict[str, str] = {"op2_top_k": OP2_SQL, "op4_mixing": OP4_SQL, "op12_hard_negatives": OP12_SQL}
+ORACLE: dict[str, str] = {"op2_top_k": OP2_SQL, "op4_mixing": OP4_SQL, "op11_decontaminate": OP11_SQL, "op12_hard_negatives": OP12_SQL}
