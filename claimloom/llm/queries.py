@@ -6,11 +6,11 @@ from collections.abc import Callable
 from uuid import uuid4
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import decontaminate, fingerprints, hard_negatives, language, lines, mixing, packing, quality, sharding, simhash, simple8b, topk
-from claimloom.llm.common import doc_bucket, table, word_count
+from claimloom.llm import decontaminate, fingerprints, hard_negatives, language, lines, mixing, packing, periodic_runs, quality, sharding, simhash, simple8b, topk
+from claimloom.llm.common import WORD, doc_bucket, table, word_count
 from claimloom.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,7 +150,7 @@ WITH said AS (
 ), met AS (
   SELECT place, i, s.k, item FROM starts s JOIN windows x ON x.k = s.k AND x.gram = array_to_string(s.w[i:i + s.k - 1], ' ')
 ), hits AS (
-  SELECT place, count(DISTINCT at) AS n_hit FROM (SELECT place, unnest(range(i, i + k)) AS at FROM (SELECT DISTINCT place, i, k FROM met)) GROUP BY place
+  SELECT place, count(DISTINCT word) AS n_hit FROM (SELECT place, unnest(range(i, i + k)) AS word FROM (SELECT DISTINCT place, i, k FROM met)) GROUP BY place
 ), named AS (
   SELECT place, count(*) AS n_items, string_agg(item, ',' ORDER BY encode(item)) AS items FROM (SELECT DISTINCT place, item FROM met) GROUP BY place
 )
@@ -190,6 +190,75 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 """
 
 
+def _repeating(text: Column, key: Column) -> Column:
+    """The text, but where its id's crc32 is a multiple of ten, with a stretch of its words repeated to the end.
+
+    With g a tenth of that crc32 and n words: from word a = g % n on, the stretch's
+    1 + floor((n - a) / (3 + g % 8)) words come again and again. A null id changes nothing.
+    """
+    code = F.crc32(key.cast("string").cast("binary"))
+    g = F.floor(code / 10)
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    n = F.size(words)
+    begin = F.pmod(g, F.greatest(n, F.lit(1))).cast("int")
+    period = F.lit(1) + F.floor((n - begin) / (F.lit(3) + F.pmod(g, F.lit(8)))).cast("int")
+    times = F.floor((n - begin) / period).cast("int") + 1
+    again = F.slice(F.flatten(F.array_repeat(F.slice(words, begin + 1, period), times)), F.lit(1), n - begin)
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), begin), again), " ")
+    return F.when((F.pmod(code, F.lit(10)) == 0) & (n > 0), changed).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeating words in every document, and the document without the repetitions."""
+    docs = table(spark, folder, "documents").withColumn("text", _repeating(F.col("text"), F.col("doc_id")))
+    found = periodic_runs.detect(docs, ["doc_id"])
+    row = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(row(r), F.lit("\n"))), "")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    best = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), longest.alias("best"), listed.alias("listed"), "collapsed")
+    return best.select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH bytes AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b)) AS step
+), coded AS (
+  SELECT doc_id, row_number() OVER () AS place, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    xor(4294967295, list_reduce(string_split(CAST(doc_id AS VARCHAR), ''), lambda c, x: xor(c >> 8, step[(xor(c, CAST(ascii(x) AS BIGINT)) & 255) + 1]), 4294967295)) AS h
+  FROM documents, bytes
+), turned AS (
+  SELECT *, (h // 10) % len(w) AS a, 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) AS p FROM coded WHERE h % 10 = 0 AND len(w) > 0
+), said AS (
+  SELECT doc_id, place, list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) AS w FROM turned
+  UNION ALL SELECT doc_id, place, w FROM coded WHERE place NOT IN (SELECT place FROM turned)
+), words AS (
+  SELECT place, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS i FROM said
+), same AS (
+  SELECT x.place, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.place = y.place AND x.word = y.word AND y.i > x.i WHERE 2 * (y.i - x.i) <= x.n
+), stretches AS (
+  SELECT place, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY place, q ORDER BY i) AS g FROM same) GROUP BY place, q, g HAVING count(*) >= q AND count(*) + q >= 12
+), runs AS (
+  SELECT place, start, length, min(q) AS period FROM stretches GROUP BY place, start, length
+), told AS (
+  SELECT place, count(*) AS n_runs, max(ROW(length, -start, -period)) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM runs GROUP BY place
+), gone AS (
+  SELECT DISTINCT place, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT place, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN gone USING (place, i) GROUP BY place
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(-best[2] AS BIGINT) AS start, CAST(best[1] AS BIGINT) AS length,
+  CAST(-best[3] AS BIGINT) AS period, CAST(1000 * best[1] // -best[3] AS BIGINT) AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM said LEFT JOIN told USING (place) LEFT JOIN kept USING (place)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_top_k": op2_top_k,
@@ -203,5 +272,12 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
     "op11_decontaminate": op11_decontaminate,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
+}
+ORACLE: dict[str, str] = {
+    "op2_top_k": OP2_SQL,
+    "op4_mixing": OP4_SQL,
+    "op11_decontaminate": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
+    "op13_periodic_runs": OP13_SQL,
 }
-ORACLE: dict[str, str] = {"op2_top_k": OP2_SQL, "op4_mixing": OP4_SQL, "op11_decontaminate": OP11_SQL, "op12_hard_negatives": OP12_SQL}

@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     base = duckdb.connect()
-    for table in ("documents", "embeddings", "labels"):
+    for table in ("documents", "embeddings", "labels", "benchmark"):
         base.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     got = queries.QUERIES[name](spark, FOLDER)
     want = base.execute(queries.ORACLE[name])
