@@ -7,12 +7,16 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 from uuid import uuid4
+from weakref import WeakKeyDictionary
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
+# The folder of each frame that cut_lineage returned and that is still in use.
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 # Runtime re-planning carries the skew handling of every large equi join: a hot key's
 # partition is split over several tasks instead of being left to one.
 SETTINGS = {
@@ -68,7 +72,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/claimloom-{uuid4().hex[:12]}"
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    rows = spark.read.schema(df.schema).parquet(folder)
+    _WRITTEN[rows] = folder
+    return rows
+
+
+def release(*written: DataFrame) -> None:
+    """Delete the folders that ``cut_lineage`` wrote for these rows; nothing may read them any more."""
+    for rows in written:
+        folder, context = _WRITTEN.pop(rows), rows.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def together(spark: SparkSession, *jobs: Callable[[], Any]) -> list[Any]:
