@@ -55,6 +55,17 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names for helper columns, lengthened where the table has them in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def doc_bucket(doc_id: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo a small number; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.llm.common import free_names
 from claimloom.session import cut_lineage
 
 WINDOW = 10
@@ -225,16 +226,6 @@ def _joined(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
-def _names(docs: DataFrame, *wanted: str) -> list[str]:
-    """The wanted names for helper columns, changed where the table has them."""
-    out = []
-    for name in wanted:
-        while name in docs.columns:
-            name += "_"
-        out.append(name)
-    return out
-
-
 FOUND = "struct<n_words: bigint, longest: bigint, spans: array<struct<begin: bigint, end: bigint>>, items: array<string>>"
 
 
@@ -251,7 +242,7 @@ def find(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text",
     Repeated documents appear each. Without items nothing is hit; no documents give no rows.
     """
     spark = docs.sparkSession
-    text_name, had = _names(docs, "text_bytes", "had")
+    text_name, had = free_names(docs, "text_bytes", "had")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     at = len(keep)
     passing = docs.select(*keep, F.col(text).cast("string").cast("binary").alias(text_name))

@@ -203,16 +203,3 @@ def test_lines(odd, none, spark):
     assert all(r.kept for r in classes if r.first_doc_id is None and r.doc_id in (0, 1, 2))
     assert not any(r.kept for r in classes if r.doc_id in (4, 6))
     assert lines.classify_lines(none).count() == 0 and lines.dedup_lines(none).columns == none.columns
-
-
-def test_line_bitmaps_keep_every_alike_pair(spark):
-    words = [f"word{i}" for i in range(40)]
-    bodies = [" ".join(words[: 40 - i] + ["other"] * (i % 3)) for i in range(20)] + ["", "a", "ab" * 300, "abcdefgh", "ß" * 9]
-    sets = [{b[i : i + 8] for i in range(max(1, len(b) - 7))} for b in (body.encode() for body in bodies)]
-    rows = [(i, bytearray(body.encode()), len(sets[i])) for i, body in enumerate(bodies)]
-    texts = spark.createDataFrame(rows, "h bigint, b binary, n int")
-    marks = lines._marks(texts, texts.select("h"))
-    other = marks.select(*[F.col(name).alias(f"other_{name}") for name in marks.columns])
-    left = {(r.h, r.other_h) for r in marks.crossJoin(other).where(lines._may_be_alike()).select("h", "other_h").collect()}
-    pairs = {(i, j) for i in range(len(sets)) for j in range(len(sets)) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
-    assert pairs <= left and len(left) < len(sets) ** 2 / 2
