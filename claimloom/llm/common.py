@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from claimloom.session import configure
 
-# Rows in one Arrow batch: with texts of some 100 KB a batch stays at some tens of megabytes.
+# Rows and bytes in one Arrow batch; a single row may have more bytes.
 BATCH_ROWS = 256
+BATCH_BYTES = 16 << 20
 
 # The characters between words: space and the ASCII controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,6 +38,7 @@ def settle(spark: SparkSession) -> SparkSession:
     configure(spark)
     ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import duckdb
@@ -136,3 +137,34 @@ def test_quality_of_odd_texts():
     scores = quality.score_texts(model, ["", "\n\n", "good words here.", "BAD!! BAD!!", "x" * 100_000])
     assert ((scores >= 0) & (scores <= 1)).all() and scores[2] > 0.5 > scores[3]
     assert quality.train([], []) is None
+
+
+def test_parsing_side_by_side_equals_one_walk():
+    rng = random.Random(6)
+    for _ in range(60):
+        many = rng.choice([2, 5, 70, 200])
+        automaton = language.suffix_automaton(["".join(chr(rng.randrange(many)) for _ in range(rng.randint(1, 400)))])
+        parser = language.Parser(automaton, many, 1.0)
+        texts = [np.array([rng.randrange(many + 1) for _ in range(rng.randint(0, 700))], dtype=np.uint8) for _ in range(12)]
+        stretches, active, of_text = language._stretches(texts)
+        got = np.bincount(of_text, parser.phrases(stretches, active), len(texts)).tolist()
+        step = language.STRETCH
+        assert got == [sum(language.phrases(automaton, "".join(map(chr, t[i : i + step]))) for i in range(0, len(t), step)) for t in texts]
+
+
+def test_symbols_of_a_text():
+    symbols = {" ": 0, "a": 1, "b": 2, "é": 3}
+    turned = language._Symbols(symbols, 4)
+    codes, letters = turned.of("12 A, b!\n\nÉ_x")
+    assert language.normalised("12 A, b!\n\nÉ_x") == "a b é x"
+    assert codes.tolist() == [0, 1, 0, 2, 0, 3, 0, 4] and letters == 4
+    assert turned.of("")[0].tolist() == [] and turned.of("...")[1] == 0
+
+
+def test_samples_take_equal_shares():
+    class Row:
+        def __init__(self, text):
+            self.text = text
+
+    assert language._sampled(iter([Row("aaaa bbbb"), Row("c"), Row("dddddddd")]), 9, 3) == "aaacddda "
+    assert language._sampled(iter([]), 9, 3) == ""
