@@ -74,8 +74,12 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return F.size(same).cast("double") / samples
 
 
+# Parts that a range of one id, or of none, may be cut into.
+_PARTS = 1 << 20
+
+
 def _ranges(docs: DataFrame, many: int) -> Column:
-    """The number of the id's range, ascending, by approximate quantiles; null ids go to the first.
+    """The number of the id's range, ascending, by approximate quantiles; -1 without an id.
 
     The cuts are as many as ranges; they are searched in two steps.
     """
@@ -85,12 +89,34 @@ def _ranges(docs: DataFrame, many: int) -> Column:
     width = max(1, int(len(cuts) ** 0.5))
     chunks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
     if not chunks:
-        return F.lit(0)
+        return F.when(F.col("id").isNull(), F.lit(-1)).otherwise(F.lit(0))
     at_most = lambda array: F.coalesce(F.size(F.filter(array, lambda c: c <= F.col("id"))), F.lit(0))
     heads = F.array(*[F.lit(c[0]).cast("bigint") for c in chunks])
     inner = F.array(*[F.array(*[F.lit(x).cast("bigint") for x in c]) for c in chunks])
-    chunk = F.when(F.col("id").isNull(), 0).otherwise(at_most(heads))
-    return F.when(chunk == 0, F.lit(0)).otherwise((chunk - 1) * width + at_most(F.element_at(inner, F.greatest(chunk, F.lit(1)))))
+    chunk = at_most(heads)
+    place = F.when(chunk == 0, F.lit(0)).otherwise((chunk - 1) * width + at_most(F.element_at(inner, F.greatest(chunk, F.lit(1)))))
+    return F.when(F.col("id").isNull(), F.lit(-1)).otherwise(place)
+
+
+def _ordered_ranges(named: DataFrame, many: int) -> DataFrame:
+    """``range, id, text, h``: documents in ranges such that a higher range comes first.
+
+    A range that holds a single id, or the documents without one, and more than its share of rows is cut by
+    the text's hash, which decides among equal ids.
+    """
+    ranged = named.withColumn("at", _ranges(named.select("id"), many).cast("bigint"))
+    sizes = ranged.groupBy("at").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("id").alias("most"))
+    sizes = sizes.collect()  # one row per range
+    share = max(1, sum(r.n for r in sizes) // many)
+    hot = {r["at"]: min(_PARTS, -(-r.n // share)) for r in sizes if r.least == r.most and r.n > 2 * share}
+    hashed = ranged.withColumn("h", F.xxhash64("text"))
+    part = F.lit(0).cast("bigint")
+    if hot:
+        parts = F.create_map(*[F.lit(x).cast("bigint") for pair in hot.items() for x in pair])
+        # the hash's place among all numbers, ascending, times the number of parts
+        unit = (F.shiftright("h", 32) + F.lit(1 << 31)).cast("double") / float(1 << 32)
+        part = F.coalesce(F.floor(unit * parts[F.col("at")]), F.lit(0)).cast("bigint")
+    return hashed.select((F.col("at") * _PARTS + (_PARTS - 1 - part)).alias("range"), "id", "text", "h")
 
 
 def _with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -100,8 +126,8 @@ def _with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     row of the range that follows, found from one narrow row per range.
     """
     named = docs.select(F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    ranged = named.withColumn("range", _ranges(named.select("id"), 4 * partitions(docs.sparkSession)).cast("int"))
-    ranged = ranged.withColumn("h", F.xxhash64("text"))
+    ranged = _ordered_ranges(named, 4 * partitions(docs.sparkSession))
+    # the first of a range has its greatest id, then the least hash; a range is all with ids or all without
     top = ranged.groupBy("range").agg(F.max(F.struct(F.col("id"), F.bitwise_not("h").alias("not_h"))).alias("top"))
     downwards = Window.orderBy(F.col("range").desc())
     around = downwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -147,9 +173,10 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
         .withColumn("edited_weight", F.col("all") - F.col("weight"))
     )
     prints = signatures(counted, ["range", "place"], {"fingerprint": "weight", "edited_fingerprint": "edited_weight"}, samples=samples)
+    # both sides of the join read the one exchange of the texts and are laid out by it
     facts = both.select("range", "place", "id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     joined = cut_lineage(
-        facts.join(cut_lineage(prints), ["range", "place"], "left")
+        facts.join(prints, ["range", "place"], "left")
         .withColumn("fingerprint", F.coalesce("fingerprint", nothing))
         .withColumn("edited_fingerprint", F.coalesce("edited_fingerprint", nothing))
     )
