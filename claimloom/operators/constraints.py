@@ -80,30 +80,6 @@ def constraint_report(tables: dict[str, DataFrame], names: list[str] | None = No
     return reduce(DataFrame.unionByName, parts)
 
 
-def enforce(tables: dict[str, DataFrame], rules: list[tuple[str, str | None]]) -> None:
-    """Raise if a table breaks a declared constraint of a kind and table in ``rules``; None is any table.
-
-    All checks run as one job; only the few counts come to the driver.
-    """
-    wanted = lambda kind, table: (kind, None) in rules or (kind, table) in rules
-    parts = []
-    for table, df in tables.items():
-        keys = schemas.UNIQUE.get(table, []) if wanted("unique", table) else []
-        links = schemas.REFERENCES.get(table, []) if wanted("foreign key", table) else []
-        checks = schemas.CHECKS.get(table, {}) if wanted("check", table) else {}
-        bad = [(f"unique ({', '.join(key)})", duplicate_keys(df, key)) for key in keys]
-        bad += [(f"foreign key {column}", missing_parents(df, column, tables[parent], to)) for column, parent, to in links]
-        bad += [(f"check {name}", check_violations(df, predicate)) for name, predicate in checks.items()]
-        if wanted("not null", table):
-            required = [c for c in schemas.columns(table) if c not in schemas.NULLABLE.get(table, set())]
-            bad += [(f"not null {c}", df.filter(F.col(c).isNull())) for c in required]
-        parts += [
-            rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(table).alias("table_name"), F.lit(name).alias("name"), "violations")
-            for name, rows in bad
-        ]
-    if parts:
-        require(reduce(DataFrame.unionByName, parts).filter("violations > 0"), "the source breaks a constraint")
-
 
 def require(violations: DataFrame, message: str) -> None:
     """Raise with the first offending row if there is any."""

@@ -35,15 +35,18 @@ def not_loaded(source: DataFrame, fact: DataFrame, key: list[str]) -> DataFrame:
 
 
 def resolve_claims(
-    claims: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], fact_claim: DataFrame
+    claims: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], fact_claim: DataFrame, also: tuple[str, ...] = ()
 ) -> DataFrame:
     """Every claim not yet on the fact with its dimension keys, or the reason it cannot load.
 
-    The joins on the claim number come first and share one shuffle; line counts are aggregated
-    before it, so a claim with very many lines costs one row.
+    The joins on the claim number come first and share one shuffle. Lines are counted for these
+    claims alone; the lines of loaded claims are sorted out before they are counted. Columns
+    named by ``also`` are kept as they are.
     """
-    counts = lines.groupBy("claim_id").agg(F.count(F.lit(1)).alias("_lines"))
-    batch = not_loaded(claims, fact_claim, ["claim_id"]).join(counts, "claim_id", "left")
+    unloaded = not_loaded(claims, fact_claim, ["claim_id"])
+    own = lines.select("claim_id").join(unloaded.select("claim_id"), "claim_id", "left_semi")
+    counts = own.groupBy("claim_id").agg(F.count(F.lit(1)).alias("_lines"))
+    batch = unloaded.join(counts, "claim_id", "left")
     batch = scd2_lookup(
         batch, dims["dim_member"], "dim_member", "member_id", "service_date",
         {"member_key": "member_key", "plan_key": "plan_key"},
@@ -59,7 +62,7 @@ def resolve_claims(
     )
     return schemas.conform(
         batch.withColumn("line_count", F.coalesce("_lines", F.lit(0))).withColumn("reject_reason", claim_reject()),
-        "claim_load_batch",
+        "claim_load_batch", also,
     )
 
 
@@ -143,14 +146,16 @@ def resolve_lines(
     """Every line not yet on the fact with its keys, or the reason it cannot be placed.
 
     Version keys are the header's, so a line reports under the versions its claim does. One
-    pass over the lines serves both the fact and the dead letters.
+    pass over the lines serves both the fact and the dead letters. Lines are placed by their claim
+    once, for the header, its reject and the loaded lines; the join to headers lies directly over
+    that exchange, so a claim with very many lines is split there.
     """
     headers = fact_claim.select("claim_id", "claim_key", "member_key", "provider_key")
     header_rejects = latest_reject(letters, fv.CLAIM_PIPELINE).select(
         F.col("source_key").cast("bigint").alias("claim_id"), F.col("reject_reason").alias("_header_reason")
     )
-    batch = not_loaded(lines, fact_line, ["claim_id", "line_number"])
-    batch = batch.join(headers, "claim_id", "left").join(header_rejects, "claim_id", "left")
+    batch = lines.join(headers, "claim_id", "left").join(header_rejects, "claim_id", "left")
+    batch = not_loaded(batch, fact_line, ["claim_id", "line_number"])
     batch = date_role(batch, dims["dim_date"], "service_date", "service_date_key")
     batch = code_key(
         batch, dims["dim_procedure"], "procedure_code", "procedure_code", "procedure_key", "procedure_key"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom import fixed_values as fv
@@ -78,6 +78,52 @@ def _line_outcomes(lines: DataFrame, fact_line: DataFrame, letters: DataFrame, h
     )
 
 
+def _rejected(letters: DataFrame, pipeline: str, key: str) -> DataFrame:
+    """Source keys with a dead letter of a pipeline, each once."""
+    return letters.filter(F.col("pipeline_name") == pipeline).select(F.col("source_key").cast("bigint").alias(key)).distinct()
+
+
+def _flags(parts: dict[str, DataFrame], key: list[str]) -> DataFrame:
+    """Per key the number of rows of each part, from a tagged union and one shuffle of narrow rows."""
+    tagged = [rows.select(*key, F.lit(name).alias("part")) for name, rows in parts.items()]
+    counts = [F.count_if(F.col("part") == name).alias(name) for name in parts]
+    return reduce(DataFrame.unionByName, tagged).groupBy(*key).agg(*counts)
+
+
+def _tallied(flags: DataFrame, outcome: Column) -> DataFrame:
+    """One row: source rows, keys of each outcome, and fact keys without a source row.
+
+    Source rows are counted by their own tag and outcomes once a key, so a source that repeats a key, or
+    a join that multiplied rows, does not add up.
+    """
+    known = F.col("source") > 0
+    return flags.agg(
+        F.coalesce(F.sum("source"), F.lit(0)).alias("source_rows"),
+        *[F.count_if(known & (outcome == name)).alias(name) for name in OUTCOMES],
+        F.coalesce(F.sum(F.when(~known, F.col("fact"))), F.lit(0)).alias(WAREHOUSE_ONLY),
+    )
+
+
+def _claim_tally(claims: DataFrame, fact_claim: DataFrame, letters: DataFrame) -> DataFrame:
+    parts = {"source": claims, "fact": fact_claim, "letter": _rejected(letters, fv.CLAIM_PIPELINE, "claim_id")}
+    loaded, rejected = F.col("fact") > 0, F.col("letter") > 0
+    outcome = F.when(loaded & rejected, fv.CONFLICT).when(loaded, fv.LOADED).when(rejected, fv.REJECTED).otherwise(fv.UNACCOUNTED)
+    return _tallied(_flags(parts, ["claim_id"]), outcome)
+
+
+def _line_tally(lines: DataFrame, fact_line: DataFrame, letters: DataFrame) -> DataFrame:
+    """Letters are few: they find their lines first, so that the lines as a whole move once."""
+    key = ["claim_id", "line_number"]
+    own = lines.join(_rejected(letters, fv.LINE_PIPELINE, "claim_line_id"), "claim_line_id", "left_semi")
+    held = lines.join(_rejected(letters, fv.CLAIM_PIPELINE, "claim_id"), "claim_id", "left_semi")
+    loaded, rejected, waits = F.col("fact") > 0, F.col("own") > 0, F.col("held") > 0
+    outcome = (
+        F.when(loaded & (rejected | waits), fv.CONFLICT).when(loaded, fv.LOADED)
+        .when(rejected, fv.REJECTED).when(waits, fv.HELD).otherwise(fv.UNACCOUNTED)
+    )
+    return _tallied(_flags({"source": lines, "fact": fact_line, "own": own, "held": held}, key), outcome)
+
+
 def _covering_version(history: DataFrame, dim: DataFrame, key: str, tracked: list[str]) -> DataFrame:
     """Per (key, start day) of the history: the version in force on it, as ``_start`` and ``_attrs``.
 
@@ -135,7 +181,7 @@ def source_balance(source: dict[str, DataFrame], tables: dict[str, DataFrame]) -
     member = real_rows(tables["dim_member"], "dim_member")
     provider = real_rows(tables["dim_provider"], "dim_provider")
     letters = tables["etl_dead_letter"]
-    entities: list[tuple[str, DataFrame, DataFrame | None]] = []
+    entities: list[tuple[str, DataFrame, DataFrame]] = []
     for name, table, key in (
         ("plan_types", "dim_plan", "plan_id"),
         ("diagnosis_codes", "dim_diagnosis", "diagnosis_code"),
@@ -158,25 +204,27 @@ def source_balance(source: dict[str, DataFrame], tables: dict[str, DataFrame]) -
                 _extra_rows(dim, source[history].select(key, "effective_start").distinct(), [key, "effective_start"]),
             )
         )
-    # the two large facts meet their source once: a full join finds both kinds of orphan
-    entities.append(("claims", _claim_outcomes(source["claims"], tables["fact_claim"], letters, "full"), None))
-    entities.append(
-        ("claim_lines", _line_outcomes(source["claim_lines"], tables["fact_claim_line"], letters, "full"), None)
-    )
-    rows = []
-    for order, (name, disposition, extra) in enumerate(entities, start=1):
-        orphan = F.col("disposition") == WAREHOUSE_ONLY
-        counts = disposition.agg(
-            F.count_if(~orphan).alias("source_rows"),
+    tallies = [
+        (name, disposition.agg(
             *[F.count_if(F.col("disposition") == outcome).alias(outcome) for outcome in OUTCOMES],
-            F.count_if(orphan).alias(WAREHOUSE_ONLY),
-        )
-        if extra is not None:
-            counts = counts.withColumn(WAREHOUSE_ONLY, extra.scalar())
-        rows.append(counts.select(F.lit(order).alias("sort_order"), F.lit(name).alias("entity"), "*"))
+        ).select(_rows_of(source[name]).alias("source_rows"), "*", extra.scalar().alias(WAREHOUSE_ONLY)))
+        for name, disposition, extra in entities
+    ]
+    # the two large facts meet their source once
+    tallies.append(("claims", _claim_tally(source["claims"], tables["fact_claim"], letters)))
+    tallies.append(("claim_lines", _line_tally(source["claim_lines"], tables["fact_claim_line"], letters)))
+    rows = [
+        counts.select(F.lit(order).alias("sort_order"), F.lit(name).alias("entity"), "*")
+        for order, (name, counts) in enumerate(tallies, start=1)
+    ]
     return reduce(DataFrame.unionByName, rows)
 
 
+def _rows_of(df: DataFrame) -> Column:
+    """The number of a table's own rows, whatever it is joined with."""
+    return df.agg(F.count(F.lit(1)).alias("n")).scalar()
+
+
 def balance_failures(balance: DataFrame) -> DataFrame:
     """Entities whose ledger does not add up."""
     total = reduce(lambda a, b: a + b, [F.col(outcome) for outcome in OUTCOMES])

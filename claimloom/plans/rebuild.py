@@ -10,8 +10,7 @@ from claimloom import fixed_values as fv
 from claimloom.operators.ledger import assert_balance, source_balance
 from claimloom.operators.quality import quality_report
 from claimloom.plans.integrity import assert_integrity, assert_not_empty, integrity_report, smoke_counts
-from claimloom.plans.load import reset_warehouse, run_etl
-from claimloom.plans.summary import refresh_monthly_claim_volume
+from claimloom.plans.load import LOAD, RESET, SUMMARY, publish
 from claimloom.sources.store import TableStore
 
 
@@ -21,14 +20,13 @@ def rebuild(
     calendar: tuple = (fv.CALENDAR_START, fv.CALENDAR_END),
     now: datetime | None = None,
 ) -> DataFrame:
-    """Empty, load and refresh, then check; returns the data-quality report.
+    """Empty, load and refresh in one run, then check; returns the data-quality report.
 
-    Findings of the report do not stop anything. An unbalanced ledger, a broken assertion or an
-    empty query raises, after the load has been published, for the state to be looked at.
+    A load that fails leaves the version before readable. Findings of the report do not stop
+    anything. An unbalanced ledger, a broken assertion or an empty query raises, after the load has
+    been published, for the state to be looked at.
     """
-    reset_warehouse(store)
-    run_etl(store, source, calendar, now)
-    refresh_monthly_claim_volume(store)
+    publish(store, source, [RESET, *LOAD, SUMMARY], calendar, now)
     return verify(store, source, calendar)
 
 

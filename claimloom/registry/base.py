@@ -9,9 +9,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom import session
-from claimloom.plans.load import reset_warehouse, run_etl
-from claimloom.plans.summary import refresh_monthly_claim_volume
+from claimloom import schemas, session
+from claimloom.plans.load import LOAD, RESET, SUMMARY, publish
 from claimloom.registry import mapping, model_sql
 from claimloom.sources import TableStore, read_source, write_source
 
@@ -58,6 +57,7 @@ class Loaded:
     source: dict[str, DataFrame]
     tables: dict[str, DataFrame]
     store: TableStore
+    calendar: mapping.Calendar
 
 
 _LOADED: dict[tuple[str, str], Loaded] = {}
@@ -68,10 +68,9 @@ def _load(spark: SparkSession, folder: str) -> Loaded:
     write_source(mapping.source_tables(spark, folder), f"{root}/source")
     source = read_source(spark, f"{root}/source")
     store = TableStore(spark, f"{root}/warehouse")
-    reset_warehouse(store)
-    run_etl(store, source, mapping.CALENDAR)
-    refresh_monthly_claim_volume(store)
-    return Loaded(source, store.read_all(), store)
+    calendar = mapping.calendar(spark, folder)
+    publish(store, source, [RESET, *LOAD, SUMMARY], calendar.days, checks=schemas.checks_for(mapping.VALUES))
+    return Loaded(source, store.read_all(), store, calendar)
 
 
 def loaded(spark: SparkSession, folder: str) -> Loaded:

@@ -18,12 +18,11 @@ from claimloom.operators.scd2 import member_history, overlapping_versions, scd2_
 from claimloom.plans import analytics
 from claimloom.plans.load import DIMENSIONS
 from claimloom.registry.base import loaded, query
-from claimloom.registry.mapping import UTILIZATION, table
+from claimloom.registry.mapping import table
 from claimloom.registry.model_sql import cents, ratio
 from claimloom.session import cut_lineage
-from claimloom.sources import calendar, load_profile, series, values_relation
+from claimloom.sources import spanned, values_relation
 
-_RUN = datetime(2026, 1, 1)
 
 # --- S: sources and sinks ---
 
@@ -64,8 +63,8 @@ def s2(spark, folder):
     days = table(spark, folder, "orders").groupBy(F.col("o_orderdate").cast("date").alias("calendar_date")).agg(
         F.count(F.lit(1)).alias("orders")
     )
-    low, high = days.agg(F.min("calendar_date"), F.max("calendar_date")).first()
-    return calendar(spark, low, high).join(days, "calendar_date", "left").select(
+    extent = days.agg(F.min("calendar_date").alias("low"), F.max("calendar_date").alias("high"))
+    return spanned(extent, "low", "high", "calendar_date").join(days, "calendar_date", "left").select(
         "calendar_date", F.coalesce("orders", F.lit(0)).alias("orders")
     )
 
@@ -85,8 +84,8 @@ def s3(spark, folder):
         table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("n").agg(F.count(F.lit(1)).alias("orders"))
     )
-    longest = sizes.agg(F.max("n")).first()[0]
-    return series(spark, 1, longest).join(sizes, "n", "left").select("n", F.coalesce("orders", F.lit(0)).alias("orders"))
+    extent = sizes.agg(F.lit(1).cast("bigint").alias("one"), F.max("n").alias("longest"))
+    return spanned(extent, "one", "longest", "n").join(sizes, "n", "left").select("n", F.coalesce("orders", F.lit(0)).alias("orders"))
 
 
 @query(
@@ -110,13 +109,13 @@ def s4(spark, folder):
     "s6_load_profile",
     "profile_id bigint, scale_factor double, member_count bigint, provider_count bigint, claim_count bigint, "
     "claim_line_count bigint",
-    """SELECT 1 AS profile_id, 0.01 AS scale_factor, (SELECT count(*) FROM customer) AS member_count,
+    """SELECT 1 AS profile_id, CAST(round((SELECT count(*) FROM orders) / 2000000, 4) AS DECIMAL(8,4)) AS scale_factor, (SELECT count(*) FROM customer) AS member_count,
               (SELECT count(*) FROM supplier) AS provider_count, (SELECT count(*) FROM orders) AS claim_count,
               (SELECT count(*) FROM lineitem) AS claim_line_count""",
 )
 def s6(spark, folder):
-    """The one-row record of the source volumes."""
-    return load_profile(loaded(spark, folder).source, 0.01, _RUN)
+    """The one-row record of the source volumes, as the load wrote it."""
+    return loaded(spark, folder).tables["load_profile"]
 
 
 @query(
@@ -415,7 +414,7 @@ def j6(spark, folder):
 
 
 _MONTHS_SQL = f"""SELECT strftime(calendar_date, '%Y-%m') AS year_month, min(calendar_date) AS lo, max(calendar_date) AS hi
-    FROM calendar WHERE calendar_date BETWEEN DATE '{UTILIZATION[0]}' AND DATE '{UTILIZATION[1]}' GROUP BY 1"""
+    FROM calendar WHERE calendar_date BETWEEN (SELECT first_day FROM extent) AND (SELECT last_order_day FROM extent) GROUP BY 1"""
 
 
 @query(
@@ -426,7 +425,8 @@ _MONTHS_SQL = f"""SELECT strftime(calendar_date, '%Y-%m') AS year_month, min(cal
 )
 def j7(spark, folder):
     """Covered members per plan type and month, without joining months to versions."""
-    return analytics.enrolled_members(loaded(spark, folder).tables, *UTILIZATION)
+    warehouse = loaded(spark, folder)
+    return analytics.enrolled_members(warehouse.tables, *warehouse.calendar.utilization)
 
 
 @query(

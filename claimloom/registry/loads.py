@@ -15,7 +15,7 @@ from claimloom.operators.constraints import many_current
 from claimloom.operators.keys import assign_keys
 from claimloom.plans.load import DIMENSIONS
 from claimloom.registry.base import loaded, query
-from claimloom.registry.mapping import CALENDAR, event_history, table
+from claimloom.registry.mapping import calendar, event_history, table
 from claimloom.session import cut_lineage
 
 _RUN = datetime(2026, 1, 1)
@@ -84,8 +84,9 @@ def d1(spark, folder):
 )
 def d2(spark, folder):
     """The calendar loaded in two overlapping runs, with the orders of each day."""
-    half = dimensions.load_dim_date(schemas.empty(spark, "dim_date"), CALENDAR[0], "1998-06-30")
-    whole = dimensions.real_rows(dimensions.load_dim_date(half, *CALENDAR), "dim_date")
+    start, end = calendar(spark, folder).days
+    half = dimensions.load_dim_date(schemas.empty(spark, "dim_date"), start, start + (end - start) / 2)
+    whole = dimensions.real_rows(dimensions.load_dim_date(half, start, end), "dim_date")
     orders = table(spark, folder, "orders").groupBy(F.col("o_orderdate").cast("date").alias("calendar_date")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -282,7 +283,7 @@ def _batch(spark, folder: str) -> DataFrame:
     "claim_id bigint, member_since date, provider_since date, plan_id bigint, diagnosis_code string, "
     "service_date date, processed_date date, line_count bigint, reject_reason string",
     f"""SELECT claim_id, member_since, provider_since, plan_id, coalesce(known_diagnosis, 'N/A') AS diagnosis_code,
-               CASE WHEN service_date BETWEEN DATE '{CALENDAR[0]}' AND DATE '{CALENDAR[1]}' THEN service_date END
+               CASE WHEN service_date BETWEEN (SELECT first_day FROM extent) AND (SELECT last_day FROM extent) THEN service_date END
                    AS service_date, processed_date, line_count, reject_reason FROM batch""",
 )
 def l1(spark, folder):

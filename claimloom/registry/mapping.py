@@ -1,12 +1,16 @@
 """General order tables presented as the nine source tables.
 
 orders are claims, lineitem their lines, customer members, supplier providers, part both code
-catalogs. No table has orphans, so unknown members, providers and codes are planted by number.
-Counts come from the tables, so the same expressions hold at every scale.
+catalogs. No table has orphans, so unknown members, providers and codes and days off the calendar are
+planted by number. Counts and the calendar come from the tables, so the same expressions hold at
+every scale.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,20 +19,61 @@ from claimloom import schemas
 from claimloom.functions import day_shift, pick
 from claimloom.operators.keys import number_within
 
-# The calendar ends before the last orders and ship dates, so that some rows fall off it.
-CALENDAR = ("1995-01-01", "2001-06-30")
-UTILIZATION = ("1995-01-01", "2001-05-31")
+# Days that some rows are moved by, so that they fall off the calendar.
+OFF_CALENDAR = 36_500
 _GENDERS = ["F", "M", "X"]
 
+# What these tables hold instead of the source system's plan and claim types.
+VALUES = {
+    "plan_types.plan_type": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "claims.claim_type": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@dataclass(frozen=True)
+class Calendar:
+    """First and last day of the tables, and of them the last on which an order was placed."""
+
+    start: date
+    end: date
+    last_order: date
+
+    @property
+    def days(self) -> tuple[date, date]:
+        return self.start, self.end
+
+    @property
+    def utilization(self) -> tuple[date, date]:
+        """The days whose months are reported for members: up to the last order."""
+        return self.start, self.last_order
+
+
+def calendar(spark: SparkSession, folder: str) -> Calendar:
+    """The calendar that holds every order, its processing and every line. One row of dates comes to the driver."""
+    day, ship = F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
+    processed = day_shift(day, F.col("o_orderkey") % 10)
+    orders = table(spark, folder, "orders").agg(F.min(day).alias("start"), F.max(processed).alias("end"), F.max(day).alias("last"))
+    lines = table(spark, folder, "lineitem").agg(F.min(ship).alias("start"), F.max(ship).alias("end"), F.lit(None).cast("date").alias("last"))
+    found = orders.unionByName(lines).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("last").alias("last")).first()
+    if found.last is None:
+        raise ValueError(f"no orders in {folder}")
+    return Calendar(found.start, found.end, found.last)
+
+
 def _count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1)).alias("n")).scalar()
 
 
+def padded(number: str, width: int) -> Column:
+    """A number with leading zeros, in full where it is longer than the width."""
+    digits = F.col(number).cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The nine source tables, lazily."""
     customer, supplier, part, orders, lineitem, nation = (
@@ -79,7 +124,7 @@ def _members(customer: DataFrame, plans: DataFrame) -> tuple[DataFrame, DataFram
         F.col("c_mktsegment").alias("last_name"),
         day_shift(F.lit("1955-01-01").cast("date"), key % 14_000).alias("date_of_birth"),
         pick(_GENDERS, 1 + key % 3).alias("gender"),
-        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("state"),
+        padded("c_nationkey", 2).alias("state"),
         F.lpad((10_000 + key % 80_000).cast("string"), 5, "0").alias("zip_code"),
         day_shift(F.lit("1994-01-01").cast("date"), key % 1600).alias("enrollment_date"),
         F.col("plan_id").alias("first_plan"),
@@ -108,12 +153,12 @@ def _providers(supplier: DataFrame, nation: DataFrame) -> tuple[DataFrame, DataF
     joined_on = F.when(key % 50 == 7, F.lit("1998-01-01").cast("date")).otherwise(F.lit("1994-01-01").cast("date"))
     based = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         key.alias("provider_id"),
-        F.lpad(key.cast("string"), 10, "0").alias("npi"),
+        padded("s_suppkey", 10).alias("npi"),
         F.col("s_name").alias("provider_name"),
         pick(["Physician", "Hospital", "Facility"], 1 + key % 3).alias("provider_type"),
         pick(fv.SPECIALTIES, 1 + key % 12).alias("specialty"),
         F.col("n_name").alias("city"),
-        F.lpad(F.col("s_nationkey").cast("string"), 2, "0").alias("state"),
+        padded("s_nationkey", 2).alias("state"),
         first_status.alias("first_status"),
         F.when(first_status == "In-Network", out).otherwise(inside).alias("second_status"),
         joined_on.alias("network_effective_date"),
@@ -143,7 +188,9 @@ def _share(amount: Column, share: str) -> Column:
 def _claims(orders: DataFrame, suppliers: Column, parts: Column) -> DataFrame:
     key = F.col("o_orderkey")
     denied = F.col("o_orderstatus") == "P"
-    day = F.col("o_orderdate").cast("date")
+    ordered = F.col("o_orderdate").cast("date")
+    day = F.when(key % 1000 == 2, day_shift(ordered, F.lit(OFF_CALENDAR))).otherwise(ordered)
+    processed = day_shift(day, key % 10 + F.when(key % 1000 == 3, OFF_CALENDAR).otherwise(0))
     billed = F.col("o_totalprice").cast(schemas.MONEY)
     allowed = _share(billed, fv.ALLOWED_SHARE)
     return orders.select(
@@ -155,7 +202,7 @@ def _claims(orders: DataFrame, suppliers: Column, parts: Column) -> DataFrame:
         F.when(denied, "Denied").otherwise("Paid").alias("claim_status"),
         F.when(denied, pick(fv.DENIAL_REASONS, 1 + key % 5)).alias("denial_reason"),
         day.alias("service_date"),
-        day_shift(day, key % 10).alias("processed_date"),
+        processed.alias("processed_date"),
         billed.alias("total_billed"),
         allowed.alias("total_allowed"),
         F.when(denied, F.lit(0)).otherwise(_share(allowed, fv.PAID_SHARE)).alias("total_paid"),
@@ -174,6 +221,7 @@ def _lines(lineitem: DataFrame, parts: Column) -> DataFrame:
     numbered = number_within(lineitem, ["l_orderkey"], LINE_ORDER[0], LINE_ORDER[1:], "number")
     longest = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).scalar()
     claim, number = F.col("l_orderkey"), F.col("number")
+    shipped = F.col("l_shipdate").cast("date")
     billed = F.col("l_extendedprice").cast(schemas.MONEY)
     allowed = _share(billed, fv.ALLOWED_SHARE)
     return numbered.select(
@@ -183,7 +231,7 @@ def _lines(lineitem: DataFrame, parts: Column) -> DataFrame:
         F.when((claim % 400 == 2) & (number == 1), "ZZZZZ")
         .otherwise(F.col("l_partkey").cast("string")).alias("procedure_code"),
         ((claim + number) % (parts + 5)).cast("string").alias("diagnosis_code"),
-        F.col("l_shipdate").cast("date").alias("service_date"),
+        F.when((claim % 400 == 3) & (number == 1), day_shift(shipped, F.lit(OFF_CALENDAR))).otherwise(shipped).alias("service_date"),
         F.col("l_quantity").cast("decimal(6,2)").alias("units"),
         billed.alias("billed_amount"),
         allowed.alias("allowed_amount"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from claimloom import fixed_values as fv
-from claimloom.registry.mapping import CALENDAR, LINE_ORDER
+from claimloom.registry.mapping import LINE_ORDER, OFF_CALENDAR
 
 
 def ratio(numerator: str, denominator: str, places: int) -> str:
@@ -62,7 +62,7 @@ MODEL: dict[str, str] = {
         SELECT c_custkey AS member_id, c_name AS first_name, c_mktsegment AS last_name,
                {_day('1955-01-01', 'c_custkey % 14000')} AS date_of_birth,
                {_listed(['F', 'M', 'X'], '1 + c_custkey % 3')} AS gender,
-               lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state,
+               lpad(CAST(c_nationkey AS VARCHAR), CAST(greatest(2, len(CAST(c_nationkey AS VARCHAR))) AS INTEGER), '0') AS state,
                lpad(CAST(10000 + c_custkey % 80000 AS VARCHAR), 5, '0') AS zip_code,
                {_day('1994-01-01', 'c_custkey % 1600')} AS enrollment_date,
                plan_id AS first_plan, plan_id % (SELECT count(*) FROM plan_types) + 1 AS second_plan,
@@ -80,10 +80,10 @@ MODEL: dict[str, str] = {
         SELECT member_id * 2 + 1, member_id, second_plan, state, zip_code, moved_on, NULL
         FROM member_base WHERE moves""",
     "provider_base": f"""
-        SELECT s_suppkey AS provider_id, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS npi, s_name AS provider_name,
+        SELECT s_suppkey AS provider_id, lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(10, len(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS npi, s_name AS provider_name,
                {_listed(['Physician', 'Hospital', 'Facility'], '1 + s_suppkey % 3')} AS provider_type,
                {_listed(fv.SPECIALTIES, '1 + s_suppkey % 12')} AS specialty, n_name AS city,
-               lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS state,
+               lpad(CAST(s_nationkey AS VARCHAR), CAST(greatest(2, len(CAST(s_nationkey AS VARCHAR))) AS INTEGER), '0') AS state,
                CASE WHEN s_suppkey % 5 = 0 THEN 'Out-of-Network' ELSE 'In-Network' END AS first_status,
                CASE WHEN s_suppkey % 5 = 0 THEN 'In-Network' ELSE 'Out-of-Network' END AS second_status,
                CASE WHEN s_suppkey % 50 = 7 THEN DATE '1998-01-01' ELSE DATE '1994-01-01' END
@@ -112,8 +112,9 @@ MODEL: dict[str, str] = {
                CASE WHEN o_orderstatus = 'P' THEN 'Denied' ELSE 'Paid' END AS claim_status,
                CASE WHEN o_orderstatus = 'P' THEN {_listed(fv.DENIAL_REASONS, '1 + o_orderkey % 5')} END
                    AS denial_reason,
-               CAST(o_orderdate AS DATE) AS service_date,
-               CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 AS INTEGER) AS processed_date,
+               CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 1000 = 2 THEN {OFF_CALENDAR} ELSE 0 END AS service_date,
+               CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 AS INTEGER)
+                   + CASE WHEN o_orderkey % 1000 IN (2, 3) THEN {OFF_CALENDAR} ELSE 0 END AS processed_date,
                billed AS total_billed, allowed AS total_allowed,
                CASE WHEN o_orderstatus = 'P' THEN CAST(0 AS DECIMAL(12,2))
                     ELSE CAST(round(allowed * CAST(0.85 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) END AS total_paid
@@ -124,16 +125,21 @@ MODEL: dict[str, str] = {
                CASE WHEN l_orderkey % 400 = 2 AND n = 1 THEN 'ZZZZZ' ELSE CAST(l_partkey AS VARCHAR) END
                    AS procedure_code,
                CAST((l_orderkey + n) % ((SELECT count(*) FROM part) + 5) AS VARCHAR) AS diagnosis_code,
-               CAST(l_shipdate AS DATE) AS service_date, CAST(l_quantity AS DECIMAL(6,2)) AS units,
+               CAST(l_shipdate AS DATE) + CASE WHEN l_orderkey % 400 = 3 AND n = 1 THEN {OFF_CALENDAR} ELSE 0 END AS service_date, CAST(l_quantity AS DECIMAL(6,2)) AS units,
                billed AS billed_amount, allowed AS allowed_amount,
                CAST(round(allowed * CAST(0.85 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS paid_amount
         FROM (SELECT *, CAST(round(billed * CAST(0.72 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS allowed
               FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(12,2)) AS billed,
                            row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) AS n
                     FROM lineitem))""",
-    "calendar": f"""
+    "extent": """
+        SELECT least(a, d) AS first_day, greatest(c, e) AS last_day, b AS last_order_day
+        FROM (SELECT min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS b,
+                     max(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 AS INTEGER)) AS c FROM orders),
+             (SELECT min(CAST(l_shipdate AS DATE)) AS d, max(CAST(l_shipdate AS DATE)) AS e FROM lineitem)""",
+    "calendar": """
         SELECT CAST(d AS DATE) AS calendar_date, year(d) AS year_number, strftime(d, '%Y-%m') AS year_month
-        FROM generate_series(DATE '{CALENDAR[0]}', DATE '{CALENDAR[1]}', INTERVAL 1 DAY) AS t(d)""",
+        FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS d FROM extent)""",
     "dim_member": "SELECT v.*, first_name, last_name, date_of_birth, gender, enrollment_date, plan_type "
     "FROM (" + _versions("member_history", "member_id", ["plan_id", "state", "zip_code"], []) + ") AS v "
     "JOIN members USING (member_id) JOIN plan_types ON plan_types.plan_id = v.plan_id",

@@ -11,7 +11,7 @@ from claimloom import fixed_values as fv
 from claimloom.operators import constraints, quality
 from claimloom.plans import analytics, integrity, summary
 from claimloom.registry.base import loaded, query
-from claimloom.registry.mapping import CALENDAR, UTILIZATION, table
+from claimloom.registry.mapping import table
 from claimloom.registry.model_sql import cents, ratio
 
 # --- Q: analytic queries ---
@@ -54,7 +54,7 @@ def q2(spark, folder):
     "plan_type string, year_month string, member_count bigint, claim_count bigint, claims_per_1000_members double, "
     "cumulative_months bigint",
     f"""WITH m AS (SELECT year_month, min(calendar_date) AS lo, max(calendar_date) AS hi FROM calendar
-                   WHERE calendar_date BETWEEN DATE '{UTILIZATION[0]}' AND DATE '{UTILIZATION[1]}' GROUP BY 1),
+                   WHERE calendar_date BETWEEN (SELECT first_day FROM extent) AND (SELECT last_order_day FROM extent) GROUP BY 1),
         e AS (SELECT plan_type, year_month, count(DISTINCT member_id) AS members
               FROM m JOIN dim_member d ON d.effective_start <= m.hi AND d.effective_end >= m.lo GROUP BY 1, 2),
         c AS (SELECT plan_type, year_month, count(*) AS claims FROM fact GROUP BY 1, 2)
@@ -65,7 +65,8 @@ def q2(spark, folder):
 )
 def q3(spark, folder):
     """Claims per 1,000 covered members."""
-    return analytics.member_utilization(loaded(spark, folder).tables, *UTILIZATION)
+    warehouse = loaded(spark, folder)
+    return analytics.member_utilization(warehouse.tables, *warehouse.calendar.utilization)
 
 
 @query(
@@ -243,7 +244,8 @@ _DAYS = "(SELECT count(*) FROM calendar)"
 _IA_SQL = {
     "calendar_complete": _verdict_sql(
         "calendar complete", "count(*) AS n FROM calendar",
-        f"of ' || CAST(DATE '{CALENDAR[1]}' - DATE '{CALENDAR[0]}' + 1 AS VARCHAR) || ' days", "n = 0",
+        "of ' || (SELECT CAST(last_day - first_day + 1 AS VARCHAR) FROM extent) || ' days",
+        "n <> (SELECT last_day - first_day + 1 FROM extent)",
     ),
     "unknown_rows_present": " UNION ALL ".join(
         f"SELECT 'unknown row of {name}' AS test_name, FALSE AS failed, '1 rows' AS detail FROM region WHERE r_regionkey = 0"
@@ -323,15 +325,16 @@ _IA_SQL = {
 }
 
 
-def _assertion(tables, check) -> DataFrame:
-    return check(tables, *CALENDAR) if check is integrity.calendar_complete else check(tables)
+def _assertion(warehouse, check) -> DataFrame:
+    days = warehouse.calendar.days
+    return check(warehouse.tables, *days) if check is integrity.calendar_complete else check(warehouse.tables)
 
 
 def _register_assertions() -> None:
     for number, check in enumerate(integrity.ASSERTIONS, start=1):
 
         def run(spark, folder, check=check):
-            return _assertion(loaded(spark, folder).tables, check)
+            return _assertion(loaded(spark, folder), check)
 
         run.__doc__ = check.__doc__
         query(f"ia{number}_{check.__name__}", _VERDICT_COLUMNS, _IA_SQL[check.__name__])(run)
@@ -346,7 +349,8 @@ _register_assertions()
 )
 def ia0(spark, folder):
     """All failed assertions; header totals are independent of lines in these tables, so some do fail."""
-    return integrity.integrity_failures(integrity.integrity_report(loaded(spark, folder).tables, CALENDAR))
+    warehouse = loaded(spark, folder)
+    return integrity.integrity_failures(integrity.integrity_report(warehouse.tables, warehouse.calendar.days))
 
 
 @query(
@@ -356,7 +360,7 @@ def ia0(spark, folder):
             WHERE claim_status = 'Paid' AND known_diagnosis IS NOT NULL)
         UNION ALL SELECT 'q03_member_utilization', (SELECT count(*) FROM (SELECT DISTINCT plan_type, year_month
             FROM (SELECT year_month, min(calendar_date) AS lo, max(calendar_date) AS hi FROM calendar
-                  WHERE calendar_date BETWEEN DATE '{UTILIZATION[0]}' AND DATE '{UTILIZATION[1]}' GROUP BY 1) m
+                  WHERE calendar_date BETWEEN (SELECT first_day FROM extent) AND (SELECT last_order_day FROM extent) GROUP BY 1) m
             JOIN dim_member d ON d.effective_start <= m.hi AND d.effective_end >= m.lo))
         UNION ALL SELECT 'q04_denial_rate', (SELECT count(*) FROM (SELECT DISTINCT specialty, claim_type FROM fact))
         UNION ALL SELECT 'q05_oon_cost_comparison', (SELECT count(DISTINCT year_number) FROM fact)
@@ -368,7 +372,8 @@ def ia0(spark, folder):
 )
 def ia21(spark, folder):
     """Rows returned by each analytic query."""
-    return integrity.smoke_counts(loaded(spark, folder).tables, q03_member_utilization=UTILIZATION)
+    warehouse = loaded(spark, folder)
+    return integrity.smoke_counts(warehouse.tables, q03_member_utilization=warehouse.calendar.utilization)
 
 
 # --- C: constraints ---

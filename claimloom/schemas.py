@@ -74,7 +74,34 @@ STAGING = {
 
 ALL = {**SOURCE, **WAREHOUSE, **AUDIT, **STAGING}
 
-# Natural keys (checked with the unique constraint) and columns that may be null.
+# The longest text of each column, in characters. Keys are numbers or bounded texts.
+LENGTHS = {
+    "plan_types": {"plan_code": 10, "plan_name": 40, "plan_type": 10},
+    "diagnosis_codes": {"diagnosis_code": 10, "description": 160, "category_code": 7, "category_name": 80},
+    "procedure_codes": {"procedure_code": 10, "description": 160, "category_name": 80},
+    "members": {"first_name": 40, "last_name": 40, "gender": 1, "state": 2, "zip_code": 10},
+    "member_plan_history": {"state": 2, "zip_code": 10},
+    "providers": {
+        "npi": 10, "provider_name": 80, "provider_type": 20, "specialty": 40, "network_status": 20, "city": 40, "state": 2,
+    },
+    "provider_network_history": {"network_status": 20, "specialty": 40},
+    "claims": {"primary_diagnosis_code": 10, "claim_type": 20, "claim_status": 20, "denial_reason": 40},
+    "claim_lines": {"procedure_code": 10, "diagnosis_code": 10},
+    "dim_date": {"month_name": 20, "day_name": 20, "year_month": 7},
+    "dim_plan": {"plan_code": 10, "plan_name": 40, "plan_type": 10},
+    "dim_diagnosis": {"diagnosis_code": 10, "description": 160, "category_code": 7, "category_name": 80},
+    "dim_procedure": {"procedure_code": 10, "description": 160, "category_name": 80},
+    "dim_member": {"first_name": 40, "last_name": 40, "gender": 1, "state": 2, "zip_code": 10},
+    "dim_provider": {
+        "npi": 10, "provider_name": 80, "provider_type": 20, "specialty": 40, "network_status": 20, "city": 40, "state": 2,
+    },
+    "fact_claim": {"claim_type": 20, "claim_status": 20, "denial_reason": 40},
+    "fact_claim_line": {"source_procedure_code": 10},
+    "etl_watermark": {"pipeline_name": 50},
+    "etl_dead_letter": {"pipeline_name": 50, "source_table": 63, "reject_reason": 200},
+}
+
+# Natural keys (checked with the unique constraint) and columns that may be null.
 UNIQUE = {
     "plan_types": [["plan_id"], ["plan_code"]],
     "diagnosis_codes": [["diagnosis_code"]],
@@ -110,7 +137,7 @@ NULLABLE = {
     "load_profile": {"member_count", "provider_count", "claim_count", "claim_line_count"},
 }
 
-# table -> [(foreign key column, referenced table, referenced column)]
+# Table -> [(foreign key column, referenced table, referenced column)]
 REFERENCES = {
     "members": [("plan_id", "plan_types", "plan_id")],
     "member_plan_history": [("member_id", "members", "member_id"), ("plan_id", "plan_types", "plan_id")],
@@ -135,7 +162,7 @@ REFERENCES = {
     ],
 }
 
-# table -> {name: predicate that a row must not fail; null counts as a pass}
+# Table -> {name: predicate that a row must not fail; null counts as a pass}
 CHECKS = {
     "plan_types": {"plan type": "plan_type in ('HMO', 'PPO', 'EPO', 'HDHP')"},
     "members": {"gender": "gender in ('F', 'M', 'X')"},
@@ -184,6 +211,28 @@ def empty(spark: SparkSession, table: str) -> DataFrame:
     return spark.range(1).filter("false").selectExpr(*columns)
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Project to the table's columns and types; an overflowing or malformed value is an error."""
-    return df.selectExpr(*[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in struct(table)])
+def checks_for(values: dict[str, list[str]]) -> dict[str, dict[str, str]]:
+    """The declared checks with other lists of values: ``{"table.column": allowed}``."""
+    checks = {table: dict(named) for table, named in CHECKS.items()}
+    for place, allowed in values.items():
+        table, column = place.split(".")
+        listed = ", ".join("'" + value.replace("'", "''") + "'" for value in allowed)
+        checks[table][column.replace("_", " ")] = f"{column} in ({listed})"
+    return checks
+
+
+def conform(df: DataFrame, table: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """Project to the table's columns and types, and columns to keep as they are.
+
+    An overflowing or malformed value is an error, and so is a text beyond its declared length.
+    """
+    longest = LENGTHS.get(table, {})
+
+    def typed(name: str, kind: str) -> str:
+        value = f"cast({name} as {kind})"
+        if name in longest:
+            told = f"concat('{table}.{name} is longer than {longest[name]}: ', {name})"
+            value = f"if(length({value}) > {longest[name]}, cast(raise_error({told}) as string), {value})"
+        return f"{value} as {name}"
+
+    return df.selectExpr(*[typed(f.name, f.dataType.simpleString()) for f in struct(table)], *also)

@@ -27,6 +27,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where a later operator would have reused its partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows placed by a part of a join's keys need not move again for the whole key.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 # Only settable when a session starts. Plans are built from many small expressions; recording a
@@ -77,12 +79,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return rows
 
 
+def _opened(spark: SparkSession, path: str):
+    """A path and the file system it lies in."""
+    context = spark.sparkContext
+    opened = context._jvm.org.apache.hadoop.fs.Path(path)
+    return opened, opened.getFileSystem(context._jsc.hadoopConfiguration())
+
+
 def release(*written: DataFrame) -> None:
     """Delete the folders that ``cut_lineage`` wrote for these rows; nothing may read them any more."""
     for rows in written:
-        folder, context = _WRITTEN.pop(rows), rows.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        path, system = _opened(rows.sparkSession, _WRITTEN.pop(rows))
+        system.delete(path, True)
+
+
+def files_under(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files that a pattern names, in whatever store it lies."""
+    path, system = _opened(spark, pattern)
+    return [status.getPath().toString() for status in system.globStatus(path) or []]
 
 
 def together(spark: SparkSession, *jobs: Callable[[], Any]) -> list[Any]:

@@ -284,8 +284,12 @@ def _with_totals(headers: DataFrame) -> DataFrame:
     return headers.select("*", *totals)
 
 
-def load_profile(source: dict[str, DataFrame], scale: float, now: datetime) -> DataFrame:
-    """The one-row record of what was generated; each run replaces the row."""
+def load_profile(source: dict[str, DataFrame], scale: float | None, now: datetime) -> DataFrame:
+    """The one-row record of the source volumes; each run replaces the row.
+
+    Without a scale it is the share that the claims are of those at scale 1. Rows are counted from file
+    footers.
+    """
     counts = [
         source[table].agg(F.count(F.lit(1)).alias(column))
         for table, column in (
@@ -294,9 +298,10 @@ def load_profile(source: dict[str, DataFrame], scale: float, now: datetime) -> D
         )
     ]
     spark = source["members"].sparkSession
+    share = counts[2].scalar() / FULL_SIZE["claims"] if scale is None else F.lit(str(scale))
     row = spark.range(1).select(
         F.lit(1).alias("profile_id"),
-        F.lit(str(scale)).cast("decimal(8,4)").alias("scale_factor"),
+        share.cast("decimal(8,4)").alias("scale_factor"),
         *[c.scalar().alias(c.columns[0]) for c in counts],
         F.lit(now).alias("generated_at"),
     )

@@ -20,6 +20,15 @@ def calendar(spark: SparkSession, start: str | date, end: str | date) -> DataFra
     return days.select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("calendar_date"))
 
 
+def spanned(extent: DataFrame, low: str, high: str, name: str) -> DataFrame:
+    """Every value between two columns of a one-row relation, both included; none if one is null.
+
+    For ranges that only the data know: nothing runs while the plan is built. One task writes the
+    range out, so it is for calendars and the like.
+    """
+    return extent.select(F.explode(F.sequence(low, high)).alias(name))
+
+
 def values_relation(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A literal relation; the planner sees its size and joins it by broadcast without a hint."""
     return spark.createDataFrame(rows, schema)

@@ -10,11 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from claimloom import schemas
+from claimloom.session import files_under
 
 _MANIFEST = "version bigint, table_name string, folder string"
 
@@ -27,20 +26,18 @@ class TableStore:
         self.root = root.rstrip("/")
 
     def manifest(self) -> tuple[int, dict[str, list[str]]]:
-        """Newest version and its folders per table; version 0 is the empty warehouse."""
-        try:
-            entries = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifests/*")
-            newest = entries.agg(F.max("version")).first()[0]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            newest = None
-        if newest is None:
+        """Newest version and its folders per table; version 0 is the empty warehouse.
+
+        Manifests are named by their version; only the newest finished one is read.
+        """
+        finished = [path.split("/")[-2] for path in files_under(self.spark, f"{self.root}/manifests/*/_SUCCESS")]
+        if not finished:
             return 0, {}
+        newest = max(finished)
         folders: dict[str, list[str]] = {}
-        for row in entries.filter(F.col("version") == newest).sort("folder").collect():
+        for row in self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifests/{newest}").sort("folder").collect():
             folders.setdefault(row.table_name, []).append(row.folder)
-        return newest, folders
+        return int(newest), folders
 
     def read(self, table: str) -> DataFrame:
         return self._open(table, self.manifest()[1])
@@ -68,6 +65,7 @@ class Run:
     version: int
     folders: dict[str, list[str]]
     name: str = field(default_factory=lambda: f"run-{uuid4().hex[:12]}")
+    written: dict[str, int] = field(default_factory=dict)
 
     @property
     def folder(self) -> str:
@@ -86,7 +84,8 @@ class Run:
         return self.read(table)
 
     def _write(self, table: str, df: DataFrame) -> str:
-        relative = f"runs/{self.name}/{table}"
+        self.written[table] = self.written.get(table, 0) + 1
+        relative = f"runs/{self.name}/{table}-{self.written[table]}"
         schemas.conform(df, table).write.parquet(f"{self.store.root}/{relative}")
         return relative
 
