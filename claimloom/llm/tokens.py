@@ -14,8 +14,13 @@ from array import array
 
 from tokenizers import Tokenizer
 
-# Entries kept for one tokenizer in one worker; beyond them the memory starts anew.
-KEPT_WORDS = 1_000_000
+# Bytes of pieces and their ids kept for one tokenizer in one worker; beyond them the memory starts anew.
+# Longer pieces, which seldom come again, are not kept.
+KEPT_BYTES = 48 << 20
+KEPT_PIECE = 100
+
+# What an entry takes besides its characters and ids: two objects and a place in the table.
+_ENTRY = 200
 
 # ASCII punctuation without the apostrophe, which contractions begin with.
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -48,12 +53,16 @@ class _Known(dict):
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.bytes = 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
         found = self.encode(piece)
-        self[piece] = found
+        if len(piece) <= KEPT_PIECE:
+            if self.bytes >= KEPT_BYTES:
+                self.clear()
+                self.bytes = 0
+            self[piece] = found
+            self.bytes += _ENTRY + len(piece) + len(found)
         return found
 
 
