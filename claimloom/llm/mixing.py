@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import sums_before
+from claimloom.llm.common import free_names, sums_before
 
 # A source gives at most so many times its own size.
 MOST_EPOCHS = 3
@@ -69,8 +69,10 @@ def mix(
     kept = [c for c in docs.columns if c.lower() not in added]
     order = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
     source_of = F.col(source).cast("string")
+    # the document's own columns go by number, so that none of them meets a name used here
     sized = docs.select(
-        *[F.col(f"`{c}`") for c in kept], F.coalesce(size, F.lit(0)).cast("bigint").alias("size"), order.alias("_key"), source_of.alias("_source")
+        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(key).alias("id"),
+        F.coalesce(size, F.lit(0)).cast("bigint").alias("size"), order.alias("_key"), source_of.alias("_source"),
     )
     targets = source_targets(sized.select(F.col("_source").alias("source"), "size"), weights, most, share)
     named = targets.select(
@@ -82,7 +84,7 @@ def mix(
         .drop("_source")
         .withColumn("_range", F.left("_key", F.lit(RANGE_DIGITS)))
     )
-    summed = sums_before(grouped, ["_group"], "_range", [F.col("_key"), F.col(key), F.col("size")], "size", "_before")
+    summed = sums_before(grouped, ["_group"], "_range", [F.col("_key"), F.col("id"), F.col("size")], "size", "_before")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("_budget") / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     return (
         summed.join(named, "_group")
@@ -90,7 +92,7 @@ def mix(
         .withColumn("part", F.greatest(F.lit(0), F.least(
             F.col("size"), F.col("_budget") - F.col("epochs") * F.col("source_size") - F.col("_before"))).cast("bigint"))
         .withColumn("taken", F.col("epochs") * F.col("size") + F.col("part"))
-        .select(*kept, *added)
+        .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *added)
     )
 
 
@@ -102,7 +104,7 @@ def mixed_texts(mixed: DataFrame, columns: list[str], text: str = "text", word:
     gap = r"[\x20\x09-\x0D]*"
     head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(gap + word), F.lit(0)), F.lit(1), F.col("part").cast("int")), "")
     whole = (F.col("epochs") + F.when((F.col("part") == F.col("size")) & (F.col("size") > 0), 1).otherwise(0)).cast("int")
-    whole_copies = mixed.where(whole > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), whole)))
+    whole_copies = mixed.where(whole > 0).withColumn(free_names(mixed, "copy")[0], F.explode(F.sequence(F.lit(1), whole)))
     parts = mixed.where((F.col("part") > 0) & (F.col("part") < F.col("size"))).withColumn(text, head)
     both = whole_copies.select(*columns).unionByName(parts.select(*columns))
     return both.withColumn("n_chars", F.length(text).cast("bigint")) if "n_chars" in columns else both
