@@ -29,6 +29,9 @@ COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 BLOCK = 1024
 
+# Blocks that a reader decodes at once.
+GROUP = 256
+
 # A segment ends with the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 16
 
@@ -102,7 +105,7 @@ def encode_ids(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     return words.astype("<u8").tobytes(), first.astype("<u4").tobytes(), escapes.astype("<u8").tobytes()
 
 
-def decode_ids(words: bytes, escapes: bytes) -> np.ndarray:
+def decode_ids(words: bytes | memoryview, escapes: bytes) -> np.ndarray:
     """The ids of whole blocks; cut ``words`` at block offsets to decode some of them."""
     words = np.frombuffer(words, dtype="<u8").astype(np.uint64)
     raw = np.frombuffer(escapes, dtype="<u8").astype(np.uint64)
@@ -122,6 +125,17 @@ def decode_ids(words: bytes, escapes: bytes) -> np.ndarray:
     return out
 
 
+def decode_range(words: bytes, block_words: bytes, escapes: bytes, begin: int, end: int) -> np.ndarray:
+    """The ids from ``begin`` to before ``end``: only the blocks that hold them are decoded, found by their offsets."""
+    if begin >= end:
+        return np.zeros(0, dtype=np.uint64)
+    offsets = np.frombuffer(block_words, dtype="<u4")
+    first, last = begin // BLOCK, -(-end // BLOCK)
+    stop = int(offsets[last]) if last < len(offsets) else len(words) // 8
+    ids = decode_ids(memoryview(words)[8 * int(offsets[first]) : 8 * stop], escapes)
+    return ids[begin - first * BLOCK : end - first * BLOCK]
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text"
 ) -> None:
@@ -164,28 +178,39 @@ def write_token_files(
     ordered.mapInPandas(run, SCHEMA).write.parquet(folder)
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document of the files: ``doc_id, start, n_tokens, ids`` (little-endian unsigned 32-bit).
+def read_token_files(spark: SparkSession, folder: str, wanted: list[int] | None = None) -> DataFrame:
+    """Every document of the files, or those of the ids ``wanted``: ``doc_id, start, n_tokens, ids`` (little-endian unsigned 32-bit).
 
     ``start`` counts the ids before the document: those of earlier shards, summed over one row per
-    shard, and those before it in its own. The words are decoded where they are read.
+    shard, and those before it in its own. The words are decoded where they are read, ``GROUP`` blocks at
+    a time by their offsets; of wanted documents only the blocks that they lie in, in the segments that
+    hold one.
     """
     files = spark.read.schema(SCHEMA).parquet(folder)
     size = F.aggregate("lengths", F.lit(0).cast("bigint"), lambda total, n: total + n)
     shards = files.select("shard", size.alias("n")).groupBy("shard").agg(F.sum("n").alias("n"))
     before = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
-    coded = files.join(before, "shard").select(
-        "doc_ids", "lengths", "words", "escapes", (F.col("before") + F.col("shard_ids")).alias("start")
+    held = files if wanted is None else files.where(F.arrays_overlap("doc_ids", F.array(*[F.lit(k).cast("bigint") for k in wanted])))
+    coded = held.join(before, "shard").select(
+        "doc_ids", "lengths", "words", "block_words", "escapes", (F.col("before") + F.col("shard_ids")).alias("start")
     )
+    chosen = None if wanted is None else set(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                keys, lengths, words, escapes, start = (column[row].as_py() for column in batch.columns)
-                ids = decode_ids(words, escapes).astype("<u4")
+                keys, lengths, words, block_words, escapes, start = (column[row].as_py() for column in batch.columns)
                 ends = np.cumsum(np.array(lengths, dtype=np.int64))
                 begins = ends - lengths
-                texts = [ids[a:b].tobytes() for a, b in zip(begins, ends, strict=True)]
+                if chosen is not None:
+                    held = [i for i, k in enumerate(keys) if k in chosen]
+                    keys, lengths, begins, ends = [keys[i] for i in held], [lengths[i] for i in held], begins[held], ends[held]
+                    texts = [decode_range(words, block_words, escapes, a, b).astype("<u4").tobytes() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+                else:
+                    ids = np.empty(int(ends[-1]) if len(ends) else 0, dtype="<u4")
+                    for at in range(0, len(ids), GROUP * BLOCK):
+                        ids[at : at + GROUP * BLOCK] = decode_range(words, block_words, escapes, at, min(len(ids), at + GROUP * BLOCK))
+                    texts = [ids[a:b].tobytes() for a, b in zip(begins, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int64()), pa.array(start + begins), pa.array(lengths, pa.int64()), pa.array(texts, pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"],

@@ -62,6 +62,8 @@ def test_token_files(spark, odd, none, tmp_path):
         at += r.n_tokens
         if r.doc_id is not None:
             assert np.frombuffer(r.ids, "<u4").tolist() == [*library.encode(texts[r.doc_id], add_special_tokens=False).ids, 0]
+    some = {(r.doc_id, r.start): r.ids for r in simple8b.read_token_files(spark, str(tmp_path / "a"), [3, 7, 99]).collect()}
+    assert some == {(r.doc_id, r.start): r.ids for r in rows if r.doc_id in (3, 7)} and len(some) == 3
     simple8b.write_token_files(none, str(tmp_path / "b"), path, 0)
     assert simple8b.read_token_files(spark, str(tmp_path / "b")).count() == 0
 

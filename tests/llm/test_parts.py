@@ -168,3 +168,15 @@ def test_samples_take_equal_shares():
 
     assert language._sampled(iter([Row("aaaa bbbb"), Row("c"), Row("dddddddd")]), 9, 3) == "aaacddda "
     assert language._sampled(iter([]), 9, 3) == ""
+
+
+def test_ranges_are_decoded_by_block_offsets():
+    rng = random.Random(9)
+    ids = np.array([rng.choice([rng.randrange(4), rng.randrange(50_000), rng.getrandbits(64)]) for _ in range(5000)], dtype=np.uint64)
+    words, offsets, escapes = simple8b.encode_ids(ids)
+    for begin, end in [(0, 5000), (0, 0), (0, 1), (1023, 1025), (1024, 2048), (4999, 5000), (700, 4100)]:
+        assert (simple8b.decode_range(words, offsets, escapes, begin, end) == ids[begin:end]).all()
+    # blocks outside the range are not looked at
+    spoiled = bytearray(words)
+    spoiled[: 8 * int(np.frombuffer(offsets, "<u4")[2])] = bytes(8 * int(np.frombuffer(offsets, "<u4")[2]))
+    assert (simple8b.decode_range(bytes(spoiled), offsets, escapes, 2048, 5000) == ids[2048:]).all()
