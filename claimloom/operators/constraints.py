@@ -25,6 +25,11 @@ def many_current(df: DataFrame, key: str) -> DataFrame:
     return duplicate_keys(df.filter("is_current"), [key])
 
 
+def not_one_current(df: DataFrame, key: str) -> DataFrame:
+    """Natural keys that have no current version, or several. One partial aggregate before the shuffle."""
+    return df.groupBy(key).agg(F.count_if("is_current").alias("rows")).filter("rows <> 1")
+
+
 def check_violations(df: DataFrame, predicate: str) -> DataFrame:
     """Rows whose predicate is false. Null is not false, as in a declared CHECK."""
     return df.filter(~F.coalesce(F.expr(predicate), F.lit(True)))

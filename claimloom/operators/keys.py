@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def next_key(existing: DataFrame, key: str) -> Column:
@@ -40,20 +41,59 @@ def assign_keys(
     )
 
 
+# Value ranges that a hot group is cut into by one column.
+_RANGES = 64
+
+
+def _part(cuts: str, value: str) -> Column:
+    """Where a value lies among ascending cuts: 2 n between two of them, 2 n + 1 on the n-th; nulls come first."""
+    below = F.size(F.filter(F.col(cuts), lambda c: c < F.col(value)))
+    on = F.array_contains(cuts, F.col(value)).cast("int")
+    return F.when(F.col(cuts).isNull(), 0).when(F.col(value).isNull(), -1).otherwise(2 * below + on)
+
+
+def _cut(df: DataFrame, among: DataFrame, group: list[str], column: str, share: Column, part: str, whole: str | None) -> tuple[DataFrame, DataFrame]:
+    """The rows with the column ``part``, and those of ``among`` that are in hot groups, with it.
+
+    ``part`` is where a row lies in its group's value ranges, 0 in a group that is not hot. Hot is a group
+    of more than ``share`` of the rows ``among``; given ``whole``, the part column of the cut before,
+    only if it holds a single value of that one. A share is one part in as many as there are shuffle
+    partitions, so there are at most that many hot groups, with ``_RANGES`` numbers each to broadcast.
+    """
+    sizes = among.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > share)
+    hot = sizes.filter(F.pmod(F.col(whole), F.lit(2)) == 1) if whole else sizes
+    at = [i / _RANGES for i in range(1, _RANGES)]
+    within = among.join(F.broadcast(hot.select(*group)), group, "left_semi")
+    cuts = F.broadcast(within.groupBy(*group).agg(F.array_distinct(F.percentile_approx(column, at, 100 * _RANGES)).alias("_cuts")))
+    placed = df.join(cuts, group, "left").withColumn(part, _part("_cuts", column)).drop("_cuts")
+    return placed, within.join(cuts, group).withColumn(part, _part("_cuts", column)).drop("_cuts")
+
+
 def number_within(df: DataFrame, key: list[str], coarse: str, order: list[str], output: str) -> DataFrame:
     """``row_number`` of each row within its key, ordered by ``coarse`` and then by ``order``.
 
-    A row's number is the rows of its key in earlier ``coarse`` groups plus its rank in its own
-    group, so a key with very many rows is spread over its groups instead of being sorted in one
-    task. The prefix sum of a key sees one row per group, of which a date column has few.
+    A row's number is the rows of its key in earlier groups plus its rank in its own group. Groups are
+    those of ``coarse``; one with more than its share of all rows is cut further by ranges of the first
+    order column, and a range of a single value by the second, as far as these are numbers, dates or
+    times. So neither a hot key nor a hot group is sorted in one task. The prefix sum of a key sees one
+    row per group, of which a date column has few, and few more for each that is cut.
     """
-    group = [*key, coarse]
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(*key).orderBy(coarse)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = df.agg((F.count(F.lit(1)) / partitions).alias("share")).scalar()
+    group, parts, placed, among = [*key, coarse], [], df, df
+    for column in order[:2]:
+        if not isinstance(df.schema[column].dataType, (T.NumericType, T.DateType, T.TimestampType)):
+            break
+        whole = parts[-1] if parts else None
+        placed, among = _cut(placed, among, [*group, *parts], column, share, f"_part{len(parts)}", whole)
+        parts.append(f"_part{len(parts)}")
+    group = [*group, *parts]
+    counts = placed.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*key).orderBy(coarse, *parts)
     before = counts.select(*group, (F.sum("_rows").over(earlier) - F.col("_rows")).alias("_before"))
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    numbered = df.withColumn("_rank", rank).join(before, group)
-    return numbered.withColumn(output, F.col("_before") + F.col("_rank")).drop("_before", "_rank")
+    numbered = placed.withColumn("_rank", rank).join(before, group)
+    return numbered.withColumn(output, F.col("_before") + F.col("_rank")).drop("_before", "_rank", *parts)
 
 
 def assign_keys_by_file(written: DataFrame, key: str, start_after: Column | int = 0) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from claimloom import schemas
 from claimloom.fixed_values import OPEN_END, UNKNOWN_KEY
 from claimloom.functions import day_shift, same
-from claimloom.operators.constraints import many_current, require
+from claimloom.operators.constraints import not_one_current, require
 from claimloom.operators.dimensions import key_of, seed_unknown
 from claimloom.operators.keys import assign_keys, next_key, number_within
 
@@ -228,8 +228,8 @@ def overlapping_versions(dim: DataFrame, key: str) -> DataFrame:
 
 
 def check_versions(dim: DataFrame, table: str, key: str) -> None:
-    """Raise unless every key has at most one current version and no two versions overlap."""
-    require(many_current(dim, key), f"{table} has more than one current row for a {key}")
+    """Raise unless every key has exactly one current version and no two versions overlap."""
+    require(not_one_current(dim, key), f"{table} has none or more than one current row for a {key}")
     require(overlapping_versions(dim, key), f"{table} has overlapping versions")
 
 

@@ -154,8 +154,10 @@ def spend_rank_from_one(tables: Tables) -> DataFrame:
     )
 
 
-def denial_rate_range(tables: Tables) -> DataFrame:
-    bad = analytics.denial_rate(tables).filter(~F.col("denial_rate_pct").between(0, 100))
+def denial_rate_range(tables: Tables, rates: DataFrame | None = None) -> DataFrame:
+    """Over the query's own rows, or given ones."""
+    rates = analytics.denial_rate(tables) if rates is None else rates
+    bad = rates.filter(~F.col("denial_rate_pct").between(0, 100))
     return _none("denial rate between 0 and 100", bad, "rows out of range")
 
 
@@ -167,11 +169,12 @@ def summary_matches(tables: Tables) -> DataFrame:
     return _none("summary equals fact", base.exceptAll(stored).unionByName(stored.exceptAll(base)), "rows differ")
 
 
-def moving_average_matches(tables: Tables) -> DataFrame:
-    """The average recomputed in month order, from the third month on."""
+def moving_average_matches(tables: Tables, volume: DataFrame | None = None) -> DataFrame:
+    """The average recomputed in month order, from the third month on, for the query's own rows or given ones."""
     in_order = Window.orderBy("year_month")
+    volume = analytics.monthly_volume(tables) if volume is None else volume
     bad = (
-        analytics.monthly_volume(tables)
+        volume
         .withColumn("month", F.row_number().over(in_order))
         .withColumn("expected", average_over(F.col("claim_count"), in_order.rowsBetween(-2, 0), 2))
         .filter((F.col("month") >= 3) & ~F.col("claim_count_3_month_avg").eqNullSafe(F.col("expected")))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimloom import fixed_values as fv
 from claimloom import schemas
 from claimloom.operators import dimensions, facts, ledger, scd2
-from claimloom.operators.constraints import many_current
+from claimloom.operators.constraints import not_one_current
 from claimloom.operators.keys import assign_keys
 from claimloom.plans.load import DIMENSIONS
 from claimloom.registry.base import loaded, query
@@ -243,14 +243,29 @@ def d5_events_incremental(spark, folder):
     return first.filter("not is_current").unionByName(second)
 
 
-@query("d6_one_current", "members bigint, providers bigint", "SELECT 0 AS members, 0 AS providers FROM region LIMIT 1")
+_CURRENT_SQL = "SELECT {key} FROM dim_{name} GROUP BY 1 HAVING count(*) FILTER (WHERE {current}) <> 1"
+_PLANTED_CURRENT = "({key} % 3 = 0 OR is_current) AND {key} % 7 <> 0"
+
+
+@query(
+    "d6_one_current", "table_name string, planted boolean, keys bigint",
+    " UNION ALL ".join(
+        f"SELECT 'dim_{name}' AS table_name, {planted} AS planted, count(*) AS keys FROM ("
+        + _CURRENT_SQL.format(key=key, name=name, current=current.format(key=key)) + ")"
+        for name, key in (("member", "member_id"), ("provider", "provider_id"))
+        for planted, current in (("FALSE", "is_current"), ("TRUE", _PLANTED_CURRENT))
+    ),
+)
 def d6(spark, folder):
-    """Keys with more than one current version."""
-    tables = loaded(spark, folder).tables
-    members = _one_count(many_current(tables["dim_member"], "member_id"), "members")
-    return members.select(
-        "members", _one_count(many_current(tables["dim_provider"], "provider_id"), "n").scalar().alias("providers")
-    )
+    """Keys without exactly one current version, as loaded and with flags planted wrong by key."""
+    parts = []
+    for table, key in (("dim_member", "member_id"), ("dim_provider", "provider_id")):
+        dim = dimensions.real_rows(loaded(spark, folder).tables[table], table)
+        for planted, rows in ((False, dim), (True, dim.withColumn("is_current", F.expr(_PLANTED_CURRENT.format(key=key))))):
+            parts.append(_one_count(not_one_current(rows, key), "keys").select(
+                F.lit(table).alias("table_name"), F.lit(planted).alias("planted"), "keys"
+            ))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(

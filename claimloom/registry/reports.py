@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom import fixed_values as fv
-from claimloom.operators import constraints, quality
+from claimloom.operators import constraints, dimensions, quality
 from claimloom.plans import analytics, integrity, summary
 from claimloom.registry.base import loaded, query
 from claimloom.registry.mapping import table
@@ -330,14 +330,67 @@ def _assertion(warehouse, check) -> DataFrame:
     return check(warehouse.tables, *days) if check is integrity.calendar_complete else check(warehouse.tables)
 
 
+# Checks that hold by construction run a second time over rows with breaches planted by value, so that
+# their answers depend on the data.
+_PLANTED_SQL = {
+    "unknown_rows_present": " UNION ALL ".join(
+        f"SELECT 'unknown row of {name}' AS test_name, n <> 1 AS failed, CAST(n AS VARCHAR) || ' rows' AS detail "
+        f"FROM (SELECT {count} AS n FROM region)"
+        for name, count in (
+            ("dim_date", "least(1, count(*))"), ("dim_plan", "0 * count(*)"), ("dim_diagnosis", "least(1, count(*))"),
+            ("dim_procedure", "least(1, count(*))"), ("dim_member", "count(*)"), ("dim_provider", "least(1, count(*))"),
+        )
+    ),
+    "denial_rate_range": _verdict_sql(
+        "denial rate between 0 and 100",
+        "count(*) AS n FROM (SELECT 40 * count(*) FILTER (WHERE claim_status = 'Denied') > count(*) AS wrong FROM fact "
+        "GROUP BY specialty, claim_type) WHERE wrong", "rows out of range",
+    ),
+    "summary_matches": _verdict_sql(
+        "summary equals fact",
+        "2 * count(*) AS n FROM (SELECT DISTINCT year_month FROM fact) WHERE CAST(right(year_month, 2) AS INTEGER) % 3 = 1", "rows differ",
+    ),
+    "moving_average_matches": _verdict_sql(
+        "three-month average",
+        "count(*) AS n FROM (SELECT year_month, row_number() OVER (ORDER BY year_month) AS r FROM (SELECT DISTINCT year_month FROM fact)) "
+        "WHERE r >= 3 AND CAST(right(year_month, 2) AS INTEGER) % 2 = 0", "months disagree",
+    ),
+}
+
+
+def _planted(spark, folder: str, name: str) -> DataFrame:
+    """The verdict of a check over rows with planted breaches."""
+    tables = loaded(spark, folder).tables
+    month = F.right("year_month", F.lit(2)).cast("int")
+    if name == "unknown_rows_present":
+        copies = table(spark, folder, "region").agg(F.count(F.lit(1)).alias("n")).scalar().cast("int")
+        again = tables["dim_member"].filter("member_key = -1").withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+        real = {t: dimensions.real_rows(tables[t], t) for t in ("dim_member", "dim_plan")}
+        return integrity.unknown_rows_present({**tables, "dim_member": real["dim_member"].unionByName(again), "dim_plan": real["dim_plan"]})
+    if name == "denial_rate_range":
+        # more than one claim in forty denied is given as more than a hundred per cent
+        rates = analytics.denial_rate(tables)
+        wrong = F.when(40 * F.col("denied_claims") > F.col("claims"), F.lit(101)).otherwise(F.col("denial_rate_pct"))
+        return integrity.denial_rate_range(tables, rates.withColumn("denial_rate_pct", wrong))
+    if name == "summary_matches":
+        more = F.col("claim_count") + F.when(month % 3 == 1, 1).otherwise(0)
+        return integrity.summary_matches({**tables, "monthly_claim_volume": tables["monthly_claim_volume"].withColumn("claim_count", more)})
+    average = F.col("claim_count_3_month_avg") + F.when(month % 2 == 0, 1).otherwise(0)
+    return integrity.moving_average_matches(tables, analytics.monthly_volume(tables).withColumn("claim_count_3_month_avg", average))
+
+
 def _register_assertions() -> None:
     for number, check in enumerate(integrity.ASSERTIONS, start=1):
+        name = check.__name__
+        planted = name in _PLANTED_SQL
 
-        def run(spark, folder, check=check):
-            return _assertion(loaded(spark, folder), check)
+        def run(spark, folder, check=check, planted=planted):
+            verdict = _assertion(loaded(spark, folder), check)
+            return verdict.unionByName(_planted(spark, folder, check.__name__)) if planted else verdict
 
         run.__doc__ = check.__doc__
-        query(f"ia{number}_{check.__name__}", _VERDICT_COLUMNS, _IA_SQL[check.__name__])(run)
+        sql = f"{_IA_SQL[name]} UNION ALL {_PLANTED_SQL[name]}" if planted else _IA_SQL[name]
+        query(f"ia{number}_{name}", _VERDICT_COLUMNS, sql)(run)
 
 
 _register_assertions()
@@ -452,7 +505,8 @@ def c5(spark, folder):
 
 @query(
     "c0_constraint_report", "table_name string, kind string, name string, violations bigint",
-    """SELECT 'claims' AS table_name, 'unique' AS kind, 'claim_id' AS name, 0 AS violations
+    """SELECT 'claims' AS table_name, 'unique' AS kind, 'claim_id' AS name,
+              (SELECT count(*) FROM (SELECT claim_id FROM claims GROUP BY 1 HAVING count(*) > 1)) AS violations
        UNION ALL SELECT 'claims', 'check', 'claim type', (SELECT count(*) FROM claims
            WHERE claim_type NOT IN ('Professional', 'Inpatient', 'Outpatient', 'Emergency'))
        UNION ALL SELECT 'claims', 'check', 'claim status', (SELECT count(*) FROM claims WHERE claim_status NOT IN ('Paid', 'Denied'))

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import DIAGNOSES, PLANS, day, member
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from claimloom import functions as fx
@@ -104,3 +105,23 @@ def test_expressions(spark):
     assert row.rounded == Decimal("-2.35") and row.none is None and str(row.later) == "2021-02-28"
     assert str(row.next) == "2020-03-01" and row.days == 2 and row.second == "y" and row.same
     assert (row.first_code, row.last_code, row.chapter) == ("A00.000", "L66.666", "Factors influencing health status")
+
+
+def test_hot_key_and_day_is_cut_in_order(spark):
+    """A third of all rows share a key and a day; half of those share a value of the first order column too."""
+    rows = [(1, day("2024-01-01"), 7 if i % 2 else i, -i, "x") for i in range(600)]
+    rows += [(i % 50, day(f"2024-02-{1 + i % 28:02d}"), i, i % 5, "y") for i in range(1200)]
+    df = spark.createDataFrame(rows, "k int, d date, a int, b int, c string").repartition(5)
+    for order in (["a", "b", "c"], ["c", "a", "b"]):
+        got = keys.number_within(df, ["k"], "d", order, "n")
+        plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("d", *order)))
+        assert sorted(got.select(*df.columns, "n").collect()) == sorted(plain.collect())
+    share = F.lit(300)
+    once, hot = keys._cut(df, df, ["k", "d"], "a", share, "p", None)
+    assert hot.count() == 600
+    twice, hot = keys._cut(once, hot, ["k", "d", "p"], "b", F.lit(100), "q", "p")
+    assert hot.select("a").distinct().collect() == [(7,)]
+    twice = twice.filter("k = 1 and d = date '2024-01-01'")
+    sizes = sorted(r["count"] for r in twice.groupBy("p", "q").count().collect())
+    assert len(sizes) > 60 and sizes[-1] < 60
+    assert {r.p for r in once.filter("k <> 1").select("p").distinct().collect()} == {0}
