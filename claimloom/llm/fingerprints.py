@@ -134,6 +134,8 @@ def _with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     # the range after whose rows this one's first row comes: the one above, or for the highest the lowest
     above = top.select("top", F.coalesce(F.lag("range").over(downwards), F.last("range").over(around)).alias("after"), F.col("range").alias("own"))
     above = cut_lineage(above.select("after", "own", F.col("top.id").alias("top_id"), F.bitwise_not(F.col("top.not_h")).alias("top_h")))
+    # said here, as the planner finds it out for one reader of the texts only, whose exchange would be another one
+    above = above.where("after is not null and own is not null and top_h is not null")
     guards = (
         ranged.join(above, (ranged["range"] == above["own"]) & ranged["id"].eqNullSafe(above["top_id"]) & (ranged["h"] == above["top_h"]))
         .select(F.col("after").alias("range"), F.col("own"), F.lit(None).cast("bigint").alias("id"), "text", "h")
