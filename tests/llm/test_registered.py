@@ -275,5 +275,6 @@ def test_stages_on_empty_and_odd_tables(spark):
     for data in ([], odd):
         frame = spark.createDataFrame([(*r, *["x"] * len(clash)) for r in data], EMPTY + "".join(f", {c} string" for c in clash))
         for _, stage in corpus_pipeline.STAGES:
-            frame = spark.createDataFrame(stage(spark, frame, FOLDER).collect(), stage(spark, frame, FOLDER).schema)
+            out = stage(spark, frame, FOLDER)
+            frame = spark.createDataFrame(out.collect(), out.schema)
         assert (frame.count() > 0) == bool(data)
