@@ -134,8 +134,6 @@ def _with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     # the range after whose rows this one's first row comes: the one above, or for the highest the lowest
     above = top.select("top", F.coalesce(F.lag("range").over(downwards), F.last("range").over(around)).alias("after"), F.col("range").alias("own"))
     above = cut_lineage(above.select("after", "own", F.col("top.id").alias("top_id"), F.bitwise_not(F.col("top.not_h")).alias("top_h")))
-    # said here, as the planner finds it out for one reader of the texts only, whose exchange would be another one
-    above = above.where("after is not null and own is not null and top_h is not null")
     guards = (
         ranged.join(above, (ranged["range"] == above["own"]) & ranged["id"].eqNullSafe(above["top_id"]) & (ranged["h"] == above["top_h"]))
         .select(F.col("after").alias("range"), F.col("own"), F.lit(None).cast("bigint").alias("id"), "text", "h")
@@ -165,22 +163,27 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next", half))
-    both = _with_next(docs, key, text).select("range", "place", "id", "text", n.cast("bigint").alias("n_chars"), edited.alias("edited"))
-    arrays = both.select("range", "place", _words(F.col("text")).alias("own"), _words(F.col("edited")).alias("other"))
-    listed = arrays.select("range", "place", F.size("own").alias("n_own"), F.posexplode(F.concat("own", "other")).alias("at", "w"))
+    sha = F.sha2(edited.cast("binary"), 256)
+    # what is said of a document goes along with its words as numbers, so that its text is read once
+    shares = [F.conv(F.substring(sha, 1 + 16 * i, 16), 16, -10).cast("bigint").alias(f"sha{i}") for i in range(4)]
+    facts = ["id", "n_chars", *[f"sha{i}" for i in range(4)]]
+    both = _with_next(docs, key, text).select("range", "place", "id", n.cast("bigint").alias("n_chars"), *shares, "text", edited.alias("edited"))
+    arrays = both.select("range", "place", *facts, _words(F.col("text")).alias("own"), _words(F.col("edited")).alias("other"))
+    listed = arrays.select("range", "place", *facts, F.size("own").alias("n_own"), F.posexplode(F.concat("own", "other")).alias("at", "w"))
     counted = (
-        listed.where("w != ''")
-        .groupBy("range", "place", F.xxhash64("w").alias("word"))
-        .agg(F.sum(F.when(F.col("at") < F.col("n_own"), 1).otherwise(0)).alias("weight"), F.count(F.lit(1)).alias("all"))
+        listed.where("w != '' or at = 0")  # a text without words keeps one row
+        .groupBy("range", "place", *facts, F.xxhash64("w").alias("word"))
+        .agg(
+            F.sum(F.when((F.col("w") != "") & (F.col("at") < F.col("n_own")), 1).otherwise(0)).alias("weight"),
+            F.sum(F.when(F.col("w") != "", 1).otherwise(0)).alias("all"),
+        )
         .withColumn("edited_weight", F.col("all") - F.col("weight"))
     )
-    prints = signatures(counted, ["range", "place"], {"fingerprint": "weight", "edited_fingerprint": "edited_weight"}, samples=samples)
-    # both sides of the join read the one exchange of the texts and are laid out by it
-    facts = both.select("range", "place", "id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    prints = signatures(counted, ["range", "place", *facts], {"fingerprint": "weight", "edited_fingerprint": "edited_weight"}, samples=samples)
     joined = cut_lineage(
-        facts.join(prints, ["range", "place"], "left")
-        .withColumn("fingerprint", F.coalesce("fingerprint", nothing))
+        prints.withColumn("fingerprint", F.coalesce("fingerprint", nothing))
         .withColumn("edited_fingerprint", F.coalesce("edited_fingerprint", nothing))
+        .withColumn("edited_sha256", F.lower(F.concat(*[F.lpad(F.hex(f"sha{i}"), 16, "0") for i in range(4)])))
     )
     firsts = joined.where("place = 1").select("range", F.col("fingerprint").alias("first"))
     downwards = Window.orderBy(F.col("range").desc())
