@@ -69,6 +69,7 @@ class Packer:
         self.waiting: list[_Example | None] = [None] * waiting
         # what a waiting example still asks for: tokens, one segment, loss tokens
         self.demand = np.zeros((waiting, 3))
+        self.asked = np.zeros(3)
         self.free = list(range(waiting))[::-1]
         self.bin: list[tuple[_Example, int, int]] = []
         self.left = self.caps.copy()
@@ -88,17 +89,26 @@ class Packer:
 
     def _ask(self, slot: int) -> None:
         example = self.waiting[slot]
-        self.demand[slot] = (example.total - example.at, 1, example.loss(example.at, example.total))
+        self._demand(slot, (example.total - example.at, 1, example.loss(example.at, example.total)))
+
+    def _demand(self, slot: int, asked: tuple[int, int, int]) -> None:
+        self.asked += asked - self.demand[slot]
+        self.demand[slot] = asked
 
     def _step(self) -> Iterator[tuple]:
         """Place one piece, or close the sequence if nothing more goes in."""
-        present = self.demand[:, 1] > 0
-        fits = present & (self.demand <= self.left).all(axis=1)
-        weight = self.demand[present].mean(axis=0) / self.caps
-        asked = np.minimum(self.demand, self.left) / self.caps
-        score = asked @ (weight * self.left / self.caps)
+        within = self.demand <= self.left
+        fits = within[:, 0] & within[:, 1] & within[:, 2]
+        full = not self.free
+        present = None if full else self.demand[:, 1] > 0
+        if not full:
+            fits &= present
+        # whole numbers, so the sum is the same in any order
+        weight = self.asked / (self.room - len(self.free)) / self.caps
+        score = (np.minimum(self.demand, self.left) / self.caps) @ (weight * self.left / self.caps)
         whole = bool(fits.any())
-        slot = int(np.argmax(np.where(fits if whole else present, score, -1.0)))
+        among = fits if whole else present
+        slot = int(score.argmax() if among is None else np.where(among, score, -1.0).argmax())
         example = self.waiting[slot]
         end = example.total if whole else self._cut(example)
         if end <= example.at:  # the best asks for loss tokens only; one whose prompt goes in may wait
@@ -116,7 +126,7 @@ class Packer:
         example.at = end
         if end == example.total:
             self.waiting[slot] = None
-            self.demand[slot] = 0
+            self._demand(slot, (0, 0, 0))
             self.free.append(slot)
         else:
             self._ask(slot)

@@ -1,8 +1,8 @@
 """Token ids of whole texts by a public tokenizer, encoded once per distinct word.
 
 A text is cut only where the tokenizer's own pre-tokenization has a boundary, so joining the ids of
-the pieces gives the ids of the whole text. Pieces repeat; each is encoded by the library once and
-kept. A plain Latin word goes straight to the library's merge model, without normalizer and pattern.
+the pieces gives the ids of the whole text. Words repeat; one that comes again is
+kept with its ids. A plain Latin word goes straight to the library's merge model, without normalizer and pattern.
 """
 
 from __future__ import annotations
@@ -14,10 +14,20 @@ from array import array
 
 from tokenizers import Tokenizer
 
-# Bytes of pieces and their ids kept for one tokenizer in one worker; beyond them the memory starts anew.
+# Bytes of pieces and their ids kept for one tokenizer in one worker. Once they are full, nothing more is kept
+# until ``PATIENCE`` pieces were missing; then the memory starts anew, as the text has changed.
 # Longer pieces, which seldom come again, are not kept.
 KEPT_BYTES = 48 << 20
 KEPT_PIECE = 100
+PATIENCE = 1 << 20
+
+# How often a piece was encoded before it is kept: words that come once would take most of the memory. A word with
+# punctuation is soon joined from its parts, so it must come oftener to be worth a place.
+_COME_AGAIN = 1
+_JOINED_AGAIN = 3
+
+# Places that count how often pieces were missing, by hash; some share one.
+_PLACES = 1 << 20
 
 # What an entry takes besides its characters and ids: two objects and a place in the table.
 _ENTRY = 200
@@ -27,6 +37,7 @@ _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Letters below this one have a single lower-case form and need no composition.
 _LATIN_END = "ɐ"
 _DOTTED_I = "İ"
+_FOREIGN = re.compile(f"[{_LATIN_END}-\U0010FFFF{_DOTTED_I}]")
 _TWO_SPACES = re.compile(r"\s\s")
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -47,20 +58,38 @@ def _bytes(ids: list[int]) -> bytes:
     return found.tobytes()
 
 
+def _plain(word: str) -> bool:
+    """Whether a word is of Latin letters alone, which no normalizer composes."""
+    return word.isalpha() and (word.isascii() or max(word) < _LATIN_END)
+
+
 class _Known(dict):
     """Ids of pieces as little-endian unsigned 32-bit bytes; a missing piece is encoded on demand."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
-        self.bytes = 0
+        self._begin()
+
+    def _begin(self) -> None:
+        self.clear()
+        self.bytes = self.refused = 0
+        self.missed = bytearray(_PLACES)
 
     def __missing__(self, piece: str) -> bytes:
         found = self.encode(piece)
-        if len(piece) <= KEPT_PIECE:
-            if self.bytes >= KEPT_BYTES:
-                self.clear()
-                self.bytes = 0
+        if self.bytes >= KEPT_BYTES:
+            self.refused += 1
+            if self.refused >= PATIENCE:
+                self._begin()
+            return found
+        if len(piece) > KEPT_PIECE:
+            return found
+        place = hash(piece) % _PLACES
+        times = self.missed[place]
+        if times < (_JOINED_AGAIN if piece[-1:] in _PUNCTUATION else _COME_AGAIN):
+            self.missed[place] = times + 1
+        else:
             self[piece] = found
             self.bytes += _ENTRY + len(piece) + len(found)
         return found
@@ -100,7 +129,7 @@ class Encoder:
 
     def _lower_word(self, piece: str) -> bytes:
         word = piece.rstrip(_PUNCTUATION)
-        if not word.isalpha() or max(word) >= _LATIN_END or _DOTTED_I in word:
+        if not _plain(word) or _DOTTED_I in word:
             return self._whole(piece)
         lower = word.lower()
         if lower == piece:
@@ -108,7 +137,7 @@ class Encoder:
         return self.words[lower] + (self.words[piece[len(word):]] if len(word) < len(piece) else b"")
 
     def _by_words(self, text: str) -> bytes:
-        if "<|" not in text and text.isascii():
+        if "<|" not in text and (text.isascii() or not _FOREIGN.search(text)):
             text = text.lower()
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
@@ -116,7 +145,7 @@ class Encoder:
 
     def _plain_word(self, piece: str) -> bytes:
         word = piece.rstrip(_PUNCTUATION)
-        if not word.isalpha() or max(word) >= _LATIN_END:
+        if not _plain(word):
             return self._whole(piece)
         return self._merged(word) if word == piece else self.plain[word] + self.plain[piece[len(word):]]
 
@@ -124,7 +153,7 @@ class Encoder:
         if piece[:1] == "\n":
             return self.plain["\n"] + self.plain[piece[1:]]
         word = piece.rstrip(_PUNCTUATION)
-        if not word.isalpha() or max(word) >= _LATIN_END:
+        if not _plain(word):
             return self._whole(" " + piece)
         return self._merged(word, self.letters[32]) if word == piece else self.spaced[word] + self.plain[piece[len(word):]]
 

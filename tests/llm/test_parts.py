@@ -13,7 +13,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from claimloom.llm import language, packing, quality, simhash, simple8b
+from claimloom.llm import language, packing, quality, simhash, simple8b, tokens
 from claimloom.llm.tokens import encoder
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
@@ -35,6 +35,51 @@ def test_cached_ids_equal_the_library(name):
     same()
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_that_come_once_leave_the_frequent_ones_in_memory(name, monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 1 << 15)
+    e = tokens.Encoder(public_tokenizers.path(name))
+    merged, merge = [], e.merge
+    e.merge = lambda word: merged.append(word) or merge(word)
+    letters = [chr(97 + i) for i in range(26)]
+    rare = [a + b + c + "q" for a in letters for b in letters for c in letters][:4000]
+    for i in range(0, len(rare), 4):
+        text = " ".join(["frequent", *rare[i : i + 4], "word", "frequent", "word"])
+        assert np.frombuffer(e.encode(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert sum("requent" in m or "word" in m for m in merged) <= 8
+
+
+def test_memory_starts_anew_when_the_text_has_changed(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 1 << 12)
+    monkeypatch.setattr(tokens, "PATIENCE", 50)
+    e = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    old, new = ([f"{c}{a}{b}" for a in "bcdfg" for b in "aeiou"] for c in "xz")
+    for words in (old, new):
+        for _ in range(20):
+            e.encode(" ".join(words))
+    assert set(new) & set(e.words) and not set(old) & set(e.words)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_capitals_beside_other_scripts_equal_the_library(name):
+    e = encoder(public_tokenizers.path(name))
+    for text in ["Été ÇA Où, Ñandú!", "İstanbul IĞDIR", "Ɏ ɐ Ɑ ẞ Straße", "Ünder <|endoftext|> Über", "Ab ΣΑΣ ΟΔΟΣ", "é Ét Àb̀"]:
+        for _ in range(3):
+            assert np.frombuffer(e.encode(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_packer_knows_what_all_waiting_examples_ask_for():
+    rng = random.Random(5)
+    packer = packing.Packer(packing.Limits(64, 3, 40), waiting=6)
+    for n in range(200):
+        total = rng.randint(1, 90)
+        for _ in packer.add(packing._Example(n, bytes(4 * total), total, rng.randint(0, total))):
+            assert packer.asked.tolist() == packer.demand.sum(axis=0).tolist()
+        assert packer.asked.tolist() == packer.demand.sum(axis=0).tolist()
+    list(packer.finish())
+    assert packer.asked.tolist() == [0, 0, 0]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 70_000), st.integers(0, (1 << 64) - 1)), max_size=3000))
 def test_simple8b_round_trip(ids):
