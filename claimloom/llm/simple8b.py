@@ -99,8 +99,10 @@ def encode_ids(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
         which = np.flatnonzero(selectors == selector)
         width = int(BITS[selector])
         if len(which) and width:
+            at, filled = start[which], words[which]
             for k in range(int(COUNTS[selector])):
-                words[which] |= coded[start[which] + k] << np.uint64(width * k)
+                filled |= coded[at + k] << np.uint64(width * k)
+            words[which] = filled
     first = np.searchsorted(block_of, np.arange(blocks))
     return words.astype("<u8").tobytes(), first.astype("<u4").tobytes(), escapes.astype("<u8").tobytes()
 
