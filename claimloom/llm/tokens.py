@@ -1,4 +1,4 @@
-"""Token ids of whole texts by a public tokenizer, encoded once per distinct word.
+"""Token ids of whole texts by a public tokenizer, frequent words encoded few times.
 
 A text is cut only where the tokenizer's own pre-tokenization has a boundary, so joining the ids of
 the pieces gives the ids of the whole text. Words repeat; one that comes again is
