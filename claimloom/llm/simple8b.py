@@ -43,6 +43,8 @@ SCHEMA = (
 
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits each id needs; exact for all 64-bit ids."""
+    if len(ids) and ids.max() < 1 << 32:
+        return np.frexp(ids.astype(np.float64))[1]
     high, low = (ids >> np.uint64(32)).astype(np.float64), (ids & np.uint64(0xFFFFFFFF)).astype(np.float64)
     return np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1])
 
@@ -77,22 +79,23 @@ def encode_ids(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
             span += step
         fits[count] = widest[:, :BLOCK]
     for selector in range(15, 0, -1):
-        best[fits[int(COUNTS[selector])][:, :BLOCK] <= BITS[selector]] = selector
+        held = fits[int(COUNTS[selector])] <= BITS[selector]
+        if held.any():
+            np.copyto(best, selector, where=held)
     best = best.reshape(-1)
     taken = COUNTS[best]
-    # follow every block's words at once
+    # follow every block's words at once; a word that ends its block leads to n, which leads nowhere else
+    follower = np.arange(len(taken) + 1)
+    follower[:-1] += taken
+    follower[:-1][(follower[:-1] % BLOCK == 0) | (follower[:-1] > n)] = n
+    follower[n:] = n
+    begins = np.zeros(len(follower), dtype=bool)
     at = np.arange(blocks) * BLOCK
-    end = np.minimum(at + BLOCK, n)
-    rows, starts, active = [], [], np.arange(blocks)
-    while len(active):
-        here = at[active]
-        rows.append(active)
-        starts.append(here)
-        at[active] = here + taken[here]
-        active = active[at[active] < end[active]]
-    block_of, start = np.concatenate(rows), np.concatenate(starts)
-    order = np.argsort(start, kind="stable")
-    block_of, start = block_of[order], start[order]
+    while at[0] < n or at.min() < n:
+        begins[at] = True
+        at = follower[at]
+    start = np.flatnonzero(begins[:n])
+    block_of = start // BLOCK
     selectors = best[start]
     words = selectors.astype(np.uint64) << np.uint64(60)
     for selector in range(16):

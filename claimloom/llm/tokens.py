@@ -7,6 +7,7 @@ kept with its ids. A plain Latin word goes straight to the library's merge model
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import sys
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 # Bytes of pieces and their ids kept for one tokenizer in one worker. Once they are full, nothing more is kept
 # until ``PATIENCE`` pieces were missing; then the memory starts anew, as the text has changed.
 # Longer pieces, which seldom come again, are not kept.
-KEPT_BYTES = 48 << 20
+KEPT_BYTES = 128 << 20
 KEPT_PIECE = 100
 PATIENCE = 1 << 20
 
@@ -60,7 +61,7 @@ def _bytes(ids: list[int]) -> bytes:
 
 def _plain(word: str) -> bool:
     """Whether a word is of Latin letters alone, which no normalizer composes."""
-    return word.isalpha() and (word.isascii() or max(word) < _LATIN_END)
+    return word.isalpha() and (word.isascii() or not _FOREIGN.search(word))
 
 
 class _Known(dict):
@@ -102,6 +103,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
+        self.table = "".join(self.letters)
         with open(path, encoding="utf-8") as file:
             layout = json.load(file)
         normalizer, splitter = layout.get("normalizer"), layout.get("pre_tokenizer") or {}
@@ -122,7 +124,7 @@ class Encoder:
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _merged(self, word: str, lead: str = "") -> bytes:
-        mapped = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        mapped = word if word.isascii() else codecs.charmap_decode(word.encode(), "strict", self.table)[0]
         return _bytes([t.id for t in self.merge(lead + mapped)])
 
     # white space dropped, lower case

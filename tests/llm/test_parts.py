@@ -49,6 +49,19 @@ def test_words_that_come_once_leave_the_frequent_ones_in_memory(name, monkeypatc
     assert sum("requent" in m or "word" in m for m in merged) <= 8
 
 
+def test_memory_holds_the_words_of_many_texts():
+    """A quarter of a million words that come again are all kept, so that none is merged a third time."""
+    e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    letters = [chr(97 + i) for i in range(26)]
+    words = [a + b + c + d for a in letters for b in letters for c in letters for d in letters[:15]]
+    texts = [" ".join(["", *words[i : i + 500]]) for i in range(0, len(words), 500)]
+    first, _, _, _ = ([e.encode(text) for text in texts] for _ in range(4))
+    merged, merge = [], e.merge
+    e.merge = lambda word: merged.append(word) or merge(word)
+    assert [e.encode(text) for text in texts] == first
+    assert not merged
+
+
 def test_memory_starts_anew_when_the_text_has_changed(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_BYTES", 1 << 12)
     monkeypatch.setattr(tokens, "PATIENCE", 50)
