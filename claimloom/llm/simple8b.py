@@ -32,6 +32,9 @@ BLOCK = 1024
 # Blocks that a reader decodes at once.
 GROUP = 256
 
+# Bytes of words and their ids that a worker keeps: more than where other stages share the executor's memory.
+KEPT_BYTES = 128 << 20
+
 # A segment ends with the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 16
 
@@ -156,7 +159,7 @@ def write_token_files(
     ordered = chosen.repartitionByRange(partitions(spark), *order[:2]).sortWithinPartitions(*order)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path).encode
+        encode = encoder(tokenizer_path, KEPT_BYTES).encode
         end = int(end_id).to_bytes(4, "little")
         shard, segment, written = TaskContext.get().partitionId(), 0, 0
         keys, parts, total = [], [], 0

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 # Bytes of pieces and their ids kept for one tokenizer in one worker. Once they are full, nothing more is kept
 # until ``PATIENCE`` pieces were missing; then the memory starts anew, as the text has changed.
 # Longer pieces, which seldom come again, are not kept.
-KEPT_BYTES = 128 << 20
+KEPT_BYTES = 48 << 20
 KEPT_PIECE = 100
 PATIENCE = 1 << 20
 
@@ -67,9 +67,9 @@ def _plain(word: str) -> bool:
 class _Known(dict):
     """Ids of pieces as little-endian unsigned 32-bit bytes; a missing piece is encoded on demand."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, kept: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.kept = encode, kept
         self._begin()
 
     def _begin(self) -> None:
@@ -79,7 +79,7 @@ class _Known(dict):
 
     def __missing__(self, piece: str) -> bytes:
         found = self.encode(piece)
-        if self.bytes >= KEPT_BYTES:
+        if self.bytes >= self.kept:
             self.refused += 1
             if self.refused >= PATIENCE:
                 self._begin()
@@ -99,7 +99,8 @@ class _Known(dict):
 class Encoder:
     """``encode(text)``: the ids of a whole text, as the library gives them without special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int | None = None):
+        kept = kept or KEPT_BYTES
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
@@ -112,10 +113,10 @@ class Encoder:
         if layout["model"]["type"] != "BPE":
             self.encode = self._whole
         elif normalizer is None and splitter.get("type") == "ByteLevel" and splitter.get("use_regex") and not splitter.get("add_prefix_space"):
-            self.plain, self.spaced = _Known(self._plain_word), _Known(self._spaced_word)
+            self.plain, self.spaced = _Known(self._plain_word, kept), _Known(self._spaced_word, kept)
             self.encode = self._by_spaced_words
         elif steps == ["NFC", "Replace", "Lowercase"] and parts == ["Split", "ByteLevel"]:
-            self.words = _Known(self._lower_word)
+            self.words = _Known(self._lower_word, kept)
             self.encode = self._by_words
         else:
             self.encode = self._whole
@@ -172,11 +173,11 @@ class Encoder:
         return self.spaced[piece] if piece[:1] == "\n" else self.plain[piece]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int | None], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of a vocabulary file, made once per worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, kept: int | None = None) -> Encoder:
+    """The encoder of a vocabulary file, with so many kept bytes, made once per worker."""
+    if (path, kept) not in _ENCODERS:
+        _ENCODERS[path, kept] = Encoder(path, kept)
+    return _ENCODERS[path, kept]

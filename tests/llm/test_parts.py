@@ -51,7 +51,7 @@ def test_words_that_come_once_leave_the_frequent_ones_in_memory(name, monkeypatc
 
 def test_memory_holds_the_words_of_many_texts():
     """A quarter of a million words that come again are all kept, so that none is merged a third time."""
-    e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), simple8b.KEPT_BYTES)
     letters = [chr(97 + i) for i in range(26)]
     words = [a + b + c + d for a in letters for b in letters for c in letters for d in letters[:15]]
     texts = [" ".join(["", *words[i : i + 500]]) for i in range(0, len(words), 500)]
