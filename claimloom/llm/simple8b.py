@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,6 +34,9 @@ GROUP = 256
 # Bytes of words and their ids that a worker keeps: more than where other stages share the executor's memory.
 KEPT_BYTES = 128 << 20
 
+# Bytes of texts whose words are looked up together; a single batch may have more.
+TEXT_BYTES = 12 << 20
+
 # A segment ends with the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 16
 
@@ -42,6 +44,8 @@ SCHEMA = (
     "shard int, segment int, shard_ids bigint, doc_ids array<bigint>, lengths array<bigint>, "
     "words binary, block_words binary, escapes binary"
 )
+NAMES = [column.split()[0] for column in SCHEMA.split(", ")]
+KINDS = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
 
 
 def _widths(ids: np.ndarray) -> np.ndarray:
@@ -144,6 +148,19 @@ def decode_range(words: bytes, block_words: bytes, escapes: bytes, begin: int, e
     return ids[begin - first * BLOCK : end - first * BLOCK]
 
 
+def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches in order, several together until they hold ``TEXT_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= TEXT_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text"
 ) -> None:
@@ -158,24 +175,22 @@ def write_token_files(
     order = [F.col("k").asc_nulls_first(), F.xxhash64("t"), F.col("t")]
     ordered = chosen.repartitionByRange(partitions(spark), *order[:2]).sortWithinPartitions(*order)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path, KEPT_BYTES).encode
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer_path, KEPT_BYTES).encode_all
         end = int(end_id).to_bytes(4, "little")
         shard, segment, written = TaskContext.get().partitionId(), 0, 0
         keys, parts, total = [], [], 0
 
-        def flush() -> pd.DataFrame:
-            ids = np.frombuffer(b"".join(parts), dtype="<u4")
-            words, offsets, escapes = encode_ids(ids)
+        def flush() -> pa.RecordBatch:
+            words, offsets, escapes = encode_ids(np.frombuffer(b"".join(parts), dtype="<u4"))
             row = (shard, segment, written, keys, [len(p) // 4 for p in parts], words, offsets, escapes)
-            return pd.DataFrame([row], columns=[c.split()[0] for c in SCHEMA.split(", ")])
-
-        for frame in frames:
-            for k, t in zip(frame["k"], frame["t"], strict=True):
-                ids = encode(t) + end
-                keys.append(None if pd.isna(k) else int(k))
-                parts.append(ids)
-                total += len(ids) // 4
+            return pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(row, KINDS, strict=True)], names=NAMES)
+
+        for found in _by_size(batches):
+            for k, ids in zip(found["k"].to_pylist(), encode(found["t"].combine_chunks()), strict=True):
+                keys.append(k)
+                parts.append(ids + end)
+                total += len(ids) // 4 + 1
                 if total >= SEGMENT_IDS:
                     yield flush()
                     written += total
@@ -183,7 +198,7 @@ def write_token_files(
         if parts:
             yield flush()
 
-    ordered.mapInPandas(run, SCHEMA).write.parquet(folder)
+    ordered.mapInArrow(run, SCHEMA).write.parquet(folder)
 
 
 def read_token_files(spark: SparkSession, folder: str, wanted: list[int] | None = None) -> DataFrame:

@@ -13,6 +13,9 @@ import re
 import sys
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # Bytes of pieces and their ids kept for one tokenizer in one worker. Once they are full, nothing more is kept
@@ -40,6 +43,10 @@ _LATIN_END = "ɐ"
 _DOTTED_I = "İ"
 _FOREIGN = re.compile(f"[{_LATIN_END}-\U0010FFFF{_DOTTED_I}]")
 _TWO_SPACES = re.compile(r"\s\s")
+# The same for Arrow, whose \s knows ASCII alone.
+_TWO_SPACES_ARROW = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]{2}"
+# Words that are plain: Latin letters below ``_LATIN_END`` but ``_DOTTED_I``.
+_PLAIN_ARROW = r"^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -59,6 +66,20 @@ def _bytes(ids: list[int]) -> bytes:
     return found.tobytes()
 
 
+def _sizes(found: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+
+def _lined_up(ids: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the coded pieces one after the other, and where each piece's end, given where those of every code end."""
+    sizes = np.diff(ends, prepend=0)
+    taken = sizes[codes]
+    after = np.cumsum(taken)
+    at = np.repeat(ends[codes] - after, taken)
+    at += np.arange(len(at))
+    return ids[at], after
+
+
 def _plain(word: str) -> bool:
     """Whether a word is of Latin letters alone, which no normalizer composes."""
     return word.isalpha() and (word.isascii() or not _FOREIGN.search(word))
@@ -128,6 +149,15 @@ class Encoder:
         mapped = word if word.isascii() else codecs.charmap_decode(word.encode(), "strict", self.table)[0]
         return _bytes([t.id for t in self.merge(lead + mapped)])
 
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """``encode`` of every text, none null; byte-level words of all texts are looked up once each."""
+        if self.encode != self._by_spaced_words:
+            return [self.encode(text) for text in texts.to_pylist()]
+        loose = pc.match_substring_regex(texts, _TWO_SPACES_ARROW)
+        apart = iter(self.encode(text) for text in texts.filter(loose).to_pylist())
+        close = iter(self._by_distinct_words(texts.filter(pc.invert(loose))))
+        return [next(apart if each else close) for each in loose.to_pylist()]
+
     # white space dropped, lower case
 
     def _lower_word(self, piece: str) -> bytes:
@@ -169,6 +199,36 @@ class Encoder:
         first, *rest = text.replace("\n", " \n").split(" ")
         return self._start(first) + b"".join(map(spaced, rest))
 
+    def _by_distinct_words(self, texts: pa.Array) -> list[bytes]:
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        words, bounds = split.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        coded, starts = words.dictionary_encode(), bounds[:-1]
+        ids, ends = self._distinct_ids(coded.dictionary)
+        # a text's first word has no space before it
+        firsts = list(map(self._start, words.take(pa.array(starts)).to_numpy(zero_copy_only=False)))
+        ends = np.concatenate([ends, (ends[-1:].sum() + np.cumsum(_sizes(firsts)))])
+        codes = coded.indices.to_numpy().copy()
+        codes[starts] = len(coded.dictionary) + np.arange(len(starts))
+        found, ends = _lined_up(np.concatenate([ids, np.frombuffer(b"".join(firsts), "<u4")]), ends, codes)
+        found, cuts = found.tobytes(), [0, *(4 * ends[bounds[1:] - 1]).tolist()]
+        return [found[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _distinct_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that take a space, and where each word's end; plain words and punctuation after them are looked up apart."""
+        stems = pc.utf8_rtrim(words, _PUNCTUATION)
+        cut = pc.and_(pc.less(pc.binary_length(stems), pc.binary_length(words)), pc.match_substring_regex(stems, _PLAIN_ARROW))
+        heads = pc.if_else(cut, stems, words).dictionary_encode()
+        known = list(map(self.spaced.__getitem__, heads.dictionary.to_numpy(zero_copy_only=False)))
+        tails: dict[str, int] = {}
+        with_tail = zip(words.filter(cut).to_numpy(zero_copy_only=False), pc.utf8_length(stems.filter(cut)).to_pylist(), strict=True)
+        tail_codes = [tails.setdefault(word[n:], len(known) + len(tails)) for word, n in with_tail]
+        known += [self.plain[tail] for tail in tails]
+        pairs = np.full((len(words), 2), len(known), dtype=np.int32)  # the last one is empty
+        pairs[:, 0] = heads.indices.to_numpy()
+        pairs[cut.to_numpy(zero_copy_only=False), 1] = tail_codes
+        ids, ends = _lined_up(np.frombuffer(b"".join(known), "<u4"), np.cumsum(_sizes([*known, b""])), pairs.reshape(-1))
+        return ids, ends[1::2]
+
     def _start(self, piece: str) -> bytes:
         return self.spaced[piece] if piece[:1] == "\n" else self.plain[piece]
 

@@ -8,6 +8,7 @@ import re
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -62,6 +63,48 @@ def test_memory_holds_the_words_of_many_texts():
     assert not merged
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_many_texts_at_once_equal_the_library(name):
+    e = encoder(public_tokenizers.path(name))
+    odd = ["", " ", "a", " a", "a ", "\n", "\na", "a\n", "a\n\nb", "a\n b", "a  b", "a\u00a0\u00a0b", "a \u3000b", "x\x85\x85y", "x\x1c\x1dy", "x\x0b\x0by", "a\tb", "a\t b"]
+    odd += ["it's, ok!! ...\nok?!", "Ünï, ünï\nİi, ɐ. Ωσς.", "<|endoftext|> x", "a <|endoftext|>.", "日本 語,", "\u200b \u200b", "a\r\nb", "\x00 \x00a", "e\u0301 é! ª, µ. ×,"]
+    for texts in (odd, odd[::-1], odd[10:11], []):
+        want = [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in e.encode_all(pa.array(texts, pa.string()))] == want
+
+
+def test_a_word_of_many_texts_is_merged_once(spark, tmp_path, monkeypatch):
+    """The writer merges a word once, whatever punctuation follows it in which of its texts."""
+    rng, merged = random.Random(4), []
+    words = ["".join(rng.choice("aeioubcdfg") for _ in range(9)) for _ in range(300)]
+    texts = ["x " + " ".join(word + rng.choice(["", ",", ".", "!?", "###"]) for word in words) for _ in range(5)]
+    e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    merge = e.merge
+    e.merge = lambda word: merged.append(word) or merge(word)
+    monkeypatch.setattr(simple8b, "encoder", lambda *_: e)
+    monkeypatch.setattr(simple8b.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+
+    class Rows:
+        """Hands the writer's function one batch instead of Spark's, to count what it merges."""
+        sparkSession = spark
+        select = repartitionByRange = sortWithinPartitions = lambda self, *_: self
+
+        def _map(self, run, batch):
+            self.found = list(run(iter([batch])))
+            self.write = type("Write", (), {"parquet": lambda *_: None})
+            return self
+
+        def mapInArrow(self, run, _schema):
+            return self._map(run, pa.RecordBatch.from_pydict({"k": list(range(5)), "t": texts}))
+
+        def mapInPandas(self, run, _schema):
+            return self._map(run, pa.RecordBatch.from_pydict({"k": list(range(5)), "t": texts}).to_pandas())
+
+    rows = Rows()
+    simple8b.write_token_files(rows, str(tmp_path), "", 0)
+    assert len(merged) <= len(words) + 10 and len(rows.found) == 1
+
+
 def test_memory_starts_anew_when_the_text_has_changed(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_BYTES", 1 << 12)
     monkeypatch.setattr(tokens, "PATIENCE", 50)
